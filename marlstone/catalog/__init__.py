@@ -6,6 +6,9 @@ from importlib import import_module
 
 _MODULES = (
     "order_queries",
+    "table_queries",
+    "donor_queries",
+    "window_queries",
 )
 
 

@@ -83,6 +83,7 @@ def differences(name, query, spark, con, sf_dir) -> str | None:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--module", default="")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     from pyspark.sql import SparkSession
@@ -101,6 +102,8 @@ def main() -> int:
     con = connect(args.sf)
     bad = 0
     for name, query in all_queries().items():
+        if args.module and args.module not in query.build.__module__:
+            continue
         if args.names and not any(n in name for n in args.names):
             continue
         start = time.time()
