@@ -9,6 +9,8 @@ _MODULES = (
     "table_queries",
     "donor_queries",
     "window_queries",
+    "text_queries",
+    "model_queries",
 )
 
 

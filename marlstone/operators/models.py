@@ -21,6 +21,7 @@ from pyspark.ml.feature import (
     HashingTF,
     OneHotEncoder,
     RFormula,
+    RFormulaModel,
     StringIndexer,
     VectorAssembler,
     Word2Vec,
@@ -58,10 +59,14 @@ def encode_categories(
     return category_encoder(cols, handle_invalid).fit(train).transform(apply)
 
 
+def formula_model(train: DataFrame, formula: str) -> RFormulaModel:
+    """An R formula such as ``y ~ . - id``, fitted on the training table."""
+    return RFormula(formula=formula).fit(train)
+
+
 def assemble(train: DataFrame, formula: str, apply: DataFrame | None = None) -> DataFrame:
     """``features`` (and ``label``, where the table has one) by an R formula."""
-    model = RFormula(formula=formula).fit(train)
-    return model.transform(train if apply is None else apply)
+    return formula_model(train, formula).transform(train if apply is None else apply)
 
 
 def assemble_columns(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -92,6 +97,7 @@ def logistic(rows: int, c: float = 1.0, penalty: str = "l2", **params) -> Logist
                 "elasticNetParam": {"l1": 1.0, "l2": 0.0}[penalty],
                 "standardization": False,
                 "maxIter": 1000,
+                "tol": 1e-4,
             }
             | params
         )
@@ -287,14 +293,19 @@ def score_rows(
     labels: Mapping[int, str],
     out: str,
     batch_size: int = 32,
+    size: int | None = None,
 ) -> DataFrame:
     """Class label of a user-supplied scorer (batch of values to batch of logits).
 
-    ``make_scorer`` builds the scorer once per Python worker. The only Python
+    ``make_scorer`` builds the scorer once per Python worker; ``size`` is the
+    length of the arrays in ``col`` (None for texts or numbers). The only Python
     in the package; it runs on Arrow batches.
     """
     logits = predict_batch_udf(
-        make_scorer, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size
+        make_scorer,
+        return_type=T.ArrayType(T.DoubleType()),
+        batch_size=batch_size,
+        input_tensor_shapes=None if size is None else [[size]],
     )
     scored = df.withColumn("_logits", logits(F.col(col)))
     probabilities = softmax(F.col("_logits"))

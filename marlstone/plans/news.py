@@ -38,15 +38,14 @@ def aspect_sentiment(
 ) -> DataFrame:
     """(key, entity, aspect, compound, sentiment): one row per text and aspect.
 
-    Texts without an aspect leave before their words are scored; only the key,
-    the entity and the aspect list travel with the scores.
+    The words of texts without an aspect are not scored; only the key, the
+    entity and the aspect list travel with the scores.
     """
     clean = texts.withColumn("clean_text", normalize(F.col("text")))
     tagged = clean.withColumn("aspects", tag_aspects(F.col("clean_text"), aspects, mode))
-    tagged = tagged.where(F.size("aspects") > 0)
-    scored = lexicon_sentiment(
-        tagged, key, F.split("clean_text", " "), lexicon, keep=["entity", "aspects"]
-    )
+    # Not a filter: pushed down, it would repeat the cleaning for every keyword.
+    words = F.when(F.size("aspects") > 0, F.split("clean_text", " "))
+    scored = lexicon_sentiment(tagged, key, words, lexicon, keep=["entity", "aspects"])
     return explode_aspects(scored, "aspects")
 
 

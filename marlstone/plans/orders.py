@@ -168,11 +168,7 @@ def order_basetable(
     return with_labels(build_basetable("order_id", *subjects, latest_reviews(reviews)))
 
 
-def model_view(base: DataFrame, label: str | None = "binary_label") -> DataFrame:
-    """Only what a model may see: features and one label (or none, with the id kept)."""
-    labels = {"multiclass_label", "binary_label"}
-    if label is None:
-        hidden = (set(NOT_FEATURES) - {"order_id"}) | labels
-    else:
-        hidden = set(NOT_FEATURES) | (labels - {label})
-    return base.drop(*hidden)
+def model_view(base: DataFrame, label: str | None = "binary_label", keep=()) -> DataFrame:
+    """Only what a model may see: features, one label (or none) and columns to keep."""
+    labels = {"multiclass_label", "binary_label"} - {label}
+    return base.drop(*((set(NOT_FEATURES) | labels) - set(keep)))
