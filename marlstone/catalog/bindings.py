@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.functions.numbers import money
+from marlstone.functions.numbers import exact_sum
 from marlstone.functions.text import normalize, tokens
 from marlstone.plans.donors import CampaignSpec
 
@@ -42,13 +42,14 @@ class Tables:
 
     @cached_property
     def items(self) -> DataFrame:
+        price = F.col("l_extendedprice").cast("decimal(18,2)")
         tax = F.col("l_tax").cast("decimal(4,2)")
         return self.raw("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_extendedprice").alias("price"),
-            money(money(F.col("l_extendedprice")) * tax).cast("double").alias("shipping_cost"),
+            (price * tax).cast("decimal(18,2)").cast("double").alias("shipping_cost"),
         )
 
     @cached_property
@@ -204,7 +205,7 @@ class Tables:
         return self.raw("events").groupBy(
             F.col("event_type").alias("series"),
             F.expr("cast(floor(cast(unix_timestamp(ts) as bigint) / 3600) as bigint)").alias("hour"),
-        ).agg(F.sum(money(F.col("value"))).cast("double").alias("value"))
+        ).agg(exact_sum(F.col("value")).alias("value"))
 
     @cached_property
     def scored(self) -> DataFrame:

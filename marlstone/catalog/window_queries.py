@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marlstone.catalog.bindings import GIFTS, HOURLY, SCORED, Tables, with_
 from marlstone.catalog.registry import Registry
-from marlstone.functions.numbers import argmax, confidence, last_step, money, softmax
+from marlstone.functions.numbers import argmax, cents, confidence, exact_mean, last_step, softmax
 from marlstone.operators import evaluate, ordered, ranking
 
 QUERIES = Registry()
@@ -73,8 +73,8 @@ def chronological_split(t: Tables):
 )
 def running_event_value(t: Tables):
     events = t.raw("events").select("event_id", "value")
-    total = ordered.running_total(events, [], ["event_id"], money(F.col("value")), "running_value")
-    return total.select("event_id", F.col("running_value").cast("double").alias("running_value"))
+    total = ordered.running_total(events, [], ["event_id"], cents(F.col("value")), "running_value")
+    return total.select("event_id", (F.col("running_value") / 100).alias("running_value"))
 
 
 @QUERIES.add(
@@ -247,7 +247,7 @@ def _customer_scores(t: Tables):
         F.col("c_custkey").alias("donorID"), ((F.col("c_acctbal") + 1000) / 11000).alias("score")
     )
     dims = t.raw("customer").select(F.col("c_custkey").alias("donorID"), "c_mktsegment", "c_nationkey")
-    mean = F.sum(money(F.col("o_totalprice"))).cast("double") / F.count(F.lit(1))
+    mean = exact_mean(F.col("o_totalprice"))
     activity = t.raw("orders").groupBy(F.col("o_custkey").alias("donorID")).agg(
         F.count(F.lit(1)).alias("frequency"), mean.alias("mean_price")
     )

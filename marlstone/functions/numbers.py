@@ -10,14 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def money(col: Column) -> Column:
-    """Cents as exact decimals, so that sums do not depend on row order."""
-    return col.cast("decimal(18,2)")
+def cents(col: Column) -> Column:
+    """Money as whole cents, so that sums do not depend on row order."""
+    return F.rint(col * 100).cast("long")
 
 
 def exact_sum(col: Column) -> Column:
     """Sum of money amounts as double, independent of row order."""
-    return F.sum(money(col)).cast("double")
+    return F.sum(cents(col)) / 100
 
 
 def exact_mean(col: Column) -> Column:
@@ -25,23 +25,21 @@ def exact_mean(col: Column) -> Column:
     return F.try_divide(exact_sum(col), F.count(col))
 
 
-def exact_stddev(col: Column) -> Column:
-    """Sample standard deviation of money amounts from exact sums (null below two rows)."""
-    return stddev_from_sums(F.count(col), F.sum(money(col)), F.sum(square(col)))
-
-
-def square(col: Column) -> Column:
-    return (money(col) * money(col)).cast("decimal(38,4)")
+def square_cents(col: Column) -> Column:
+    """Squared cents as decimal: their sum outgrows a long."""
+    whole = cents(col).cast("decimal(19,0)")
+    return whole * whole
 
 
 def stddev_from_sums(n: Column, total: Column, squares: Column) -> Column:
-    """Sample standard deviation from count, exact sum and exact sum of squares.
+    """Sample standard deviation of money from count, sum and sum of squares in cents.
 
-    ``n * squares - total**2`` is computed in decimals: no cancellation error.
+    Squared deviations from the mean in exact decimals: no cancellation error.
+    Null below two rows.
     """
-    spread = (n.cast("decimal(12,0)") * squares - (total * total)).cast("double")
-    n = n.cast("double")
-    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n * (n - 1))))
+    total = total.cast("decimal(19,0)")
+    spread = (squares - total * total / n.cast("decimal(12,0)")).cast("double")
+    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)) / 100)
 
 
 def parse_decimal_comma(text: Column) -> Column:

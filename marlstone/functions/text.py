@@ -81,12 +81,22 @@ SENTIMENT_LABELS = {0: "risk", 1: "neutral", 2: "opportunity"}
 
 # Whitespace in the Unicode sense; the regex class ``\s`` alone covers ASCII only.
 _SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_CHARACTERS = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+        + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
+
+
+def _letters(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, rf"[^a-zA-Z{_SPACE}]", ""))
 
 
 def clean_text(text: Column) -> Column:
     """ASCII letters and whitespace only, lower case, no outer whitespace."""
-    letters = F.lower(F.regexp_replace(text, rf"[^a-zA-Z{_SPACE}]", ""))
-    return F.regexp_replace(letters, rf"^[{_SPACE}]+|[{_SPACE}]+$", "")
+    return F.btrim(_letters(text), F.lit(_SPACE_CHARACTERS))
 
 
 def tokens(cleaned: Column) -> Column:
@@ -102,7 +112,7 @@ def remove_stopwords(words: Column, stop_words: Sequence[str] = ENGLISH_STOP_WOR
 
 def normalize(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Clean, tokenise, drop stop words and rejoin with single blanks."""
-    return F.concat_ws(" ", remove_stopwords(tokens(clean_text(text)), stop_words))
+    return F.concat_ws(" ", remove_stopwords(tokens(_letters(text)), stop_words))
 
 
 def extract_field(json_or_text: Column, name: str) -> Column:

@@ -19,6 +19,7 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import (
     IDF,
     HashingTF,
+    Normalizer,
     OneHotEncoder,
     RFormula,
     RFormulaModel,
@@ -267,7 +268,8 @@ def text_embedder(method: str = "tfidf", size: int = 256, words: str = "words",
     """Estimator from a token array to a vector: ``tfidf`` or ``word2vec``."""
     if method == "tfidf":
         counts = HashingTF(inputCol=words, outputCol="_counts", numFeatures=size)
-        return Pipeline(stages=[counts, IDF(inputCol="_counts", outputCol=out)])
+        weights = IDF(inputCol="_counts", outputCol="_weights")
+        return Pipeline(stages=[counts, weights, Normalizer(inputCol="_weights", outputCol=out)])
     if method == "word2vec":
         return Pipeline(
             stages=[Word2Vec(inputCol=words, outputCol=out, vectorSize=size, minCount=1, seed=42)]
@@ -276,7 +278,7 @@ def text_embedder(method: str = "tfidf", size: int = 256, words: str = "words",
 
 
 def embed_text(df: DataFrame, words: str = "words", method: str = "tfidf", size: int = 256) -> DataFrame:
-    return text_embedder(method, size, words).fit(df).transform(df).drop("_counts")
+    return text_embedder(method, size, words).fit(df).transform(df).drop("_counts", "_weights")
 
 
 def classify_text(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -12,16 +12,17 @@ from marlstone.operators.selection import select_ranks
 
 def _boundary_rows(df: DataFrame, key: Column, tie: Column, ranks: list[int]) -> dict:
     """(key, tie) of the rows at the given positions in ascending (key, tie) order."""
-    keys = select_ranks(df, {r: (key, r) for r in ranks})
-    distinct = sorted(set(keys.values()))
-    if not distinct:
+    if not ranks:
         return {}
+    keys = select_ranks(df, {"key": key}, {"key": ranks})["key"]
+    distinct = sorted(set(keys.values()))
     counts = df.agg(*[F.count_if(key < v).alias(f"_{i}") for i, v in enumerate(distinct)]).first()
     before = dict(zip(distinct, counts, strict=True))
-    ties = select_ranks(
-        df, {r: (F.when(key == keys[r], tie), r - before[keys[r]]) for r in ranks}
-    )
-    return {r: (keys[r], ties[r]) for r in ranks}
+    # Among the rows with the same key, the position goes on by the tie.
+    among = {str(v): F.when(key == v, tie) for v in distinct}
+    inner = {str(v): [r - before[v] for r in ranks if keys[r] == v] for v in distinct}
+    ties = select_ranks(df, among, inner)
+    return {r: (keys[r], ties[str(keys[r])][r - before[keys[r]]]) for r in ranks}
 
 
 def _after(key: Column, tie: Column, boundary: tuple) -> Column:

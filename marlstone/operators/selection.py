@@ -1,7 +1,6 @@
 """Exact order statistics of large columns without a global sort.
 
-Every request asks for the value at one rank of one numeric expression. Each
-round takes an approximate percentile on both sides of the wanted rank, counts
+A search looks for the value at one rank of one numeric expression. Each round takes an approximate percentile on both sides of the wanted rank, counts
 the rows below the bracket exactly, and repeats inside the bracket. A round is
 one partial aggregation (no shuffle of rows) and shrinks the candidates by
 about three orders of magnitude, so a few rounds suffice at any size. The last
@@ -11,7 +10,7 @@ step looks at no more than ``_FINAL_ROWS`` candidates per request.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +22,7 @@ _FINAL_ROWS = 5_000
 
 @dataclass
 class _Search:
+    name: str  # which expression
     value: Column  # null where the row does not take part
     rank: int  # 1-based, ascending
     low: object = None  # candidates lie strictly between low and high
@@ -45,6 +45,14 @@ def _one_row(df: DataFrame, exprs: Sequence[Column]) -> list:
     return list(df.agg(*named).first())
 
 
+def _sharing(searches: list[_Search]) -> list[list[_Search]]:
+    """Searches with the same candidates, which one digest or array can serve."""
+    groups: dict = {}
+    for s in searches:
+        groups.setdefault((s.name, s.low, s.high), []).append(s)
+    return list(groups.values())
+
+
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
     """One round: every search loses all candidates outside its probes.
 
@@ -52,14 +60,19 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
     own rows are settled and the round makes progress.
     """
     margin = 2.0 / _ACCURACY
+    groups = _sharing(searches)
+    digests = []
+    for group in groups:
+        ends = []
+        for s in group:
+            centre = (s.rank - s.below) / s.inside
+            ends += [max(0.0, centre - margin), min(1.0, centre + margin)]
+        digests.append(F.percentile_approx(group[0].candidates(), ends, _ACCURACY))
     probes = []
-    for s in searches:
-        centre = (s.rank - s.below) / s.inside
-        ends = [max(0.0, centre - margin), min(1.0, centre + margin)]
-        probes.append(F.percentile_approx(s.candidates(), ends, _ACCURACY))
-    brackets = _one_row(df, probes)
+    for group, values in zip(groups, _one_row(df, digests), strict=True):
+        probes += [(s, values[2 * i], values[2 * i + 1]) for i, s in enumerate(group)]
     counts = []
-    for s, (low, high) in zip(searches, brackets, strict=True):
+    for s, low, high in probes:
         c = s.candidates()
         counts += [
             F.count_if(c < low),
@@ -68,7 +81,7 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             F.count_if((c == high) & (c > low)),
         ]
     counts = _one_row(df, counts)
-    for i, (s, (low, high)) in enumerate(zip(searches, brackets, strict=True)):
+    for i, (s, low, high) in enumerate(probes):
         before, at_low, between, at_high = counts[4 * i : 4 * i + 4]
         rank = s.rank - s.below
         if rank <= before:
@@ -88,36 +101,49 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             s.inside -= settled
 
 
-def select_ranks(df: DataFrame, requests: Mapping[object, tuple[Column, int]]) -> dict:
-    """Value at the given 1-based ascending rank, for every request.
+def select_ranks(
+    df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str, Iterable[int]]
+) -> dict[str, dict[int, object]]:
+    """The values at the given 1-based ascending ranks of each named expression.
 
     Nulls and NaN take no part. Ranks must lie within the number of values.
     """
-    searches = {
-        k: _Search(F.when(~F.isnan(v.cast("double")), v), rank) for k, (v, rank) in requests.items()
-    }
-    if not searches:
-        return {}
-    sizes = _one_row(df, [F.count(s.value) for s in searches.values()])
-    for s, size in zip(searches.values(), sizes, strict=True):
-        if not 1 <= s.rank <= size:
-            raise ValueError(f"rank {s.rank} outside 1..{size}")
-        s.inside = size
+    searches = []
+    sizes = {}
+    if values:
+        exprs = {n: F.when(~F.isnan(v.cast("double")), v) for n, v in values.items()}
+        counts = _one_row(df, [F.count(v) for v in exprs.values()])
+        sizes = dict(zip(exprs, counts, strict=True))
+    for name, wanted in ranks.items():
+        for rank in sorted(set(wanted)):
+            if not 1 <= rank <= sizes[name]:
+                raise ValueError(f"rank {rank} of {name} outside 1..{sizes[name]}")
+            searches.append(_Search(name, exprs[name], rank, inside=sizes[name]))
     while True:
-        wide = [s for s in searches.values() if s.found is None and s.inside > _FINAL_ROWS]
+        wide = [s for s in searches if s.found is None and s.inside > _FINAL_ROWS]
         if not wide:
             break
         _narrow(df, wide)
-    last = [s for s in searches.values() if s.found is None]
-    if last:
-        # At most _FINAL_ROWS values each: a bounded array, sorted in place.
-        picks = [
-            F.get(F.sort_array(F.collect_list(s.candidates())), F.lit(s.rank - s.below - 1))
-            for s in last
-        ]
-        for s, value in zip(last, _one_row(df, picks), strict=True):
-            s.found = value
-    return {k: s.found for k, s in searches.items()}
+    groups = _sharing([s for s in searches if s.found is None])
+    if groups:
+        # At most _FINAL_ROWS values per array; only the wanted entries come back.
+        picks = []
+        for group in groups:
+            ordered = F.sort_array(F.collect_list(group[0].candidates()))
+            picks.append(F.array(*[F.get(ordered, F.lit(s.rank - s.below - 1)) for s in group]))
+        for group, found in zip(groups, _one_row(df, picks), strict=True):
+            for s, value in zip(group, found, strict=True):
+                s.found = value
+    out: dict[str, dict[int, object]] = {name: {} for name in ranks}
+    for s in searches:
+        out[s.name][s.rank] = s.found
+    return out
+
+
+def _around(size: int, p: float) -> tuple[int, int, float]:
+    """Ranks on both sides of a linear-interpolation percentile, and the way between."""
+    position = (size - 1) * p
+    return math.floor(position) + 1, math.ceil(position) + 1, position - math.floor(position)
 
 
 def interpolated_percentiles(
@@ -125,31 +151,18 @@ def interpolated_percentiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolation percentiles per column (null for an empty column)."""
     exprs = {c: F.col(c).cast("double") for c in wanted}
-    sizes = dict(
-        zip(
-            wanted,
-            _one_row(df, [F.count(F.when(~F.isnan(e), e)) for e in exprs.values()]),
-            strict=True,
-        )
-    )
-    requests = {}
-    for c, probabilities in wanted.items():
-        for p in probabilities if sizes[c] else ():
-            position = (sizes[c] - 1) * p
-            for rank in {math.floor(position) + 1, math.ceil(position) + 1}:
-                requests[(c, rank)] = (exprs[c], rank)
-    values = select_ranks(df, requests)
+    counts = _one_row(df, [F.count(F.when(~F.isnan(e), e)) for e in exprs.values()])
+    sizes = dict(zip(wanted, counts, strict=True))
+    known = {c: e for c, e in exprs.items() if sizes[c]}
+    ranks = {c: [r for p in wanted[c] for r in _around(sizes[c], p)[:2]] for c in known}
+    values = select_ranks(df, known, ranks)
     out: dict[str, list[float | None]] = {}
     for c, probabilities in wanted.items():
-        out[c] = []
-        for p in probabilities:
-            if not sizes[c]:
-                out[c].append(None)
-                continue
-            position = (sizes[c] - 1) * p
-            low = values[(c, math.floor(position) + 1)]
-            high = values[(c, math.ceil(position) + 1)]
-            out[c].append(low + (high - low) * (position - math.floor(position)))
+        out[c] = [None] * len(probabilities)
+        for i, p in enumerate(probabilities if c in known else ()):
+            lower, upper, way = _around(sizes[c], p)
+            low, high = values[c][lower], values[c][upper]
+            out[c][i] = low + (high - low) * way
     return out
 
 

@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marlstone.functions.dates import age_years, parse_dmy
-from marlstone.functions.numbers import cut, interactions, money, parse_decimal_comma, square, stddev_from_sums
+from marlstone.functions.numbers import (
+    cents,
+    cut,
+    exact_sum,
+    interactions,
+    parse_decimal_comma,
+    square_cents,
+    stddev_from_sums,
+)
 from marlstone.operators.clean import between_dates, fill_constants, history_as_of
 from marlstone.operators.scaling import dummy_columns, dummy_name, learn_levels
 from marlstone.session import fits_broadcast, stable
@@ -85,7 +93,7 @@ def campaign_history(
 
 
 def _donor_days(gifts: DataFrame, spec: CampaignSpec) -> DataFrame:
-    """History collapsed to one line per donor, day and campaign.
+    """History collapsed to one line per donor, day and campaign (money in cents).
 
     However many gifts a donor has, this leaves at most (days x campaigns)
     lines for them, so everything after it may work donor by donor.
@@ -95,8 +103,8 @@ def _donor_days(gifts: DataFrame, spec: CampaignSpec) -> DataFrame:
     return history.groupBy("donorID", F.to_date("date").alias("date"), "campaignID").agg(
         F.count(F.lit(1)).alias("gifts"),
         F.count(amount).alias("amounts"),
-        F.sum(money(amount)).alias("total"),
-        F.sum(square(amount)).alias("squares"),
+        F.sum(cents(amount)).alias("total"),
+        F.sum(square_cents(amount)).alias("squares"),
         F.max(amount).alias("largest"),
         F.min(amount).alias("smallest"),
         F.max_by(amount, "gift_id").alias("last_amount"),
@@ -187,11 +195,11 @@ def rfm_features(
     placed = placed.withColumn("is_recent", rank > top_rank - 3)
 
     def mean_amount(condition):
-        total = F.sum(F.when(condition, F.col("total"))).cast("double")
+        total = F.sum(F.when(condition, F.col("total"))) / 100
         return F.try_divide(total, F.sum(F.when(condition, F.col("amounts"))))
 
     n, gift_count = F.sum("amounts"), F.sum("gifts")
-    total = F.sum("total").cast("double")
+    total = F.sum("total") / 100
     lag = F.datediff("date", "campaign_date")
     lagged = F.when(lag.isNotNull(), F.col("gifts"))
     last = F.max(
@@ -280,7 +288,7 @@ def interaction_pairs(levels: Levels) -> dict[str, tuple[str, str]]:
 def campaign_target(gifts: DataFrame, selection: DataFrame, spec: CampaignSpec) -> DataFrame:
     """(donorID, target_amount, target) of selected donors with gifts in the target window."""
     window = between_dates(gifts, "date", spec.target_start, spec.target_end)
-    sums = window.groupBy("donorID").agg(F.sum(money(F.col("amount"))).cast("double").alias("target_amount"))
+    sums = window.groupBy("donorID").agg(exact_sum(F.col("amount")).alias("target_amount"))
     chosen = sums.join(selection.select("donorID"), "donorID", "left_semi")
     reached = F.coalesce(F.col("target_amount") >= spec.threshold, F.lit(False))
     return chosen.withColumn("target", reached.cast("int"))

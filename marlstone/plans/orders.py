@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.dates import days_between, whole_days
-from marlstone.functions.numbers import bucketize, exact_sum, map_classes, money, product
+from marlstone.functions.numbers import bucketize, exact_sum, map_classes, product
 from marlstone.operators.grouping import latest_per_key
 
 # --- fixed values: bucket edges and label classes ------------------------------
@@ -86,11 +86,10 @@ def item_features(items: DataFrame, products: DataFrame, outside: str = "extend"
 def payment_features(payments: DataFrame) -> DataFrame:
     """Per order, in one aggregation; orders without a first payment drop out."""
     voucher = F.col("payment_type") == "voucher"
-    value = money(F.col("payment_value"))
     first_type = F.when(F.col("payment_sequential") == 1, F.col("payment_type"))
 
     def total(condition):
-        return F.coalesce(F.sum(F.when(condition, value)).cast("double"), F.lit(0.0))
+        return F.coalesce(exact_sum(F.when(condition, F.col("payment_value"))), F.lit(0.0))
 
     return (
         payments.groupBy("order_id")
