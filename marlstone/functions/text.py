@@ -138,14 +138,16 @@ def tag_aspects(
     """
     if mode not in ("substring", "word"):
         raise ValueError(f"unknown mode: {mode!r}")
-    haystack = text if mode == "substring" else F.concat(F.lit(" "), text, F.lit(" "))
     pad = "" if mode == "substring" else " "
-
-    def tag(aspect, keywords):
-        hit = haystack.contains(f"{pad}{keywords[0]}{pad}")
-        for keyword in keywords[1:]:
-            hit = hit | haystack.contains(f"{pad}{keyword}{pad}")
+    haystack = F.concat(F.lit(pad), text, F.lit(pad)) if pad else text
+
+    def tag(aspect):
+        padded = [f"{pad}{keyword}{pad}" for keyword in aspects[aspect]]
+        # A keyword that holds another one of its aspect cannot add a match.
+        needed = [k for k in padded if not any(o != k and o in k for o in padded)]
+        hit = haystack.contains(needed[0])
+        for keyword in needed[1:]:
+            hit = hit | haystack.contains(keyword)
         return F.when(hit, F.lit(aspect))
 
-    found = F.array(*[tag(aspect, list(aspects[aspect])) for aspect in sorted(aspects)])
-    return F.array_compact(found)
+    return F.array_compact(F.array(*[tag(aspect) for aspect in sorted(aspects)]))

@@ -25,22 +25,24 @@ def _checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the checkpoint folder and cut its lineage.
-
-    Used where several jobs must see exactly the same rows in the same places
-    (range-partitioned blocks, scored tables), also after an executor is lost.
-    """
-    _checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     root = _checkpoint_root(spark).rstrip("/")
     return f"{root}/marlstone-{name}-{uuid.uuid4().hex}"
 
 
+def stable(df: DataFrame) -> DataFrame:
+    """Store ``df`` as a table in the shared checkpoint folder and read it from there.
+
+    Used where several jobs must see exactly the same rows (range-partitioned
+    blocks, scored tables), also after an executor is lost. Parquet, so that
+    each reader takes only its columns and Spark knows the size of the table.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads no more than needed)."""
     return df.limit(max_rows + 1).count() <= max_rows
