@@ -29,7 +29,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,14 +151,12 @@ def grid_search(
 
 def grid_results(model: CrossValidatorModel) -> DataFrame:
     """(params, metric, is_best) per grid point; a line per point, no data."""
-    from pyspark.sql import SparkSession
-
     maps = model.getEstimatorParamMaps()
     names = [", ".join(sorted(f"{p.name}={v}" for p, v in m.items())) for m in maps]
     larger = model.getEvaluator().isLargerBetter()
     best = (max if larger else min)(model.avgMetrics)
     best_at = model.avgMetrics.index(best)
-    rows = [(n, float(m), i == best_at) for i, (n, m) in enumerate(zip(names, model.avgMetrics))]
+    rows = [(n, float(m), i == best_at) for i, (n, m) in enumerate(zip(names, model.avgMetrics, strict=True))]
     return SparkSession.active().createDataFrame(rows, "params string, metric double, is_best boolean")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,22 +13,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def _checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or a local one where none is named."""
-    sc = spark.sparkContext
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="marlstone-")
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a local one only where none is named."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="marlstone-"))
-    return sc.getCheckpointDir()
+    return configured or spark.sparkContext.getCheckpointDir() or _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
-    root = _checkpoint_root(spark).rstrip("/")
+    root = _scratch_root(spark).rstrip("/")
     return f"{root}/marlstone-{name}-{uuid.uuid4().hex}"
 
 
