@@ -39,7 +39,9 @@ def explode_parallel(df: DataFrame, arrays: dict[str, str], check: bool = True)
 
 def explode_aspects(df: DataFrame, col: str, out: str = "aspect") -> DataFrame:
     """One row per text and aspect; texts without an aspect drop out."""
-    return df.withColumn(out, F.explode(col)).drop(col)
+    # A plain explode would make the optimizer filter on the array's size at the
+    # scan, and so repeat the expressions behind the array there.
+    return df.withColumn(out, F.explode_outer(col)).drop(col).where(F.col(out).isNotNull())
 
 
 def lexicon_sentiment(
@@ -55,13 +57,14 @@ def lexicon_sentiment(
     ``lexicon`` is (token, valence) with unique tokens. The compound score is
     ``s / sqrt(s^2 + alpha)`` for the valence sum ``s`` (Hutto and Gilbert 2014).
     The words of one text are combined in the task that exploded them, so only
-    one short row per text is shuffled; ``key`` is unique per text.
+    one short row per text is shuffled. ``key`` is unique per text, so grouping
+    by the kept columns as well changes nothing and keeps the aggregate hashed.
     """
     lookup = broadcast_if_small(lexicon.select("token", F.col("valence").cast("double")))
     exploded = df.select(key, *keep, F.explode_outer(words).alias("token"))
     scored = exploded.join(lookup, "token", "left")
-    kept = [F.first(c).alias(c) for c in keep]
-    sums = scored.groupBy(key).agg(*kept, F.coalesce(F.sum("valence"), F.lit(0.0)).alias("_s"))
+    valence = F.coalesce(F.sum("valence"), F.lit(0.0))
+    sums = scored.groupBy(key, *keep).agg(valence.alias("_s"))
     compound = F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + alpha)
     sums = sums.withColumn("compound", F.round(compound, 4)).drop("_s")
     return sums.withColumn("sentiment", polarity(F.col("compound")))

@@ -209,3 +209,17 @@ def test_no_python_in_relational_plans(spark):
 def test_deciles_move_no_rows(spark):
     plan = plan_of(all_queries()["score_deciles"](spark, SF))
     assert "Exchange" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize(
+    "name", ["aspect_sentiment_counts", "climate_aspects", "top_terms", "lemmatized_documents"]
+)
+def test_texts_are_cleaned_once(name, spark):
+    plan = plan_of(all_queries()[name](spark, SF))
+    # The initial plan; the stop list makes the cleaning expression easy to spot.
+    assert plan.count("INSET a, about") == 1
+
+
+def test_word_scores_are_hash_aggregated(spark):
+    plan = plan_of(all_queries()["aspect_sentiment_counts"](spark, SF))
+    assert "SortAggregate" not in plan
