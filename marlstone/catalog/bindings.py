@@ -185,9 +185,13 @@ class Tables:
 
     @cached_property
     def news(self) -> DataFrame:
-        """Conversations as nested records: parallel label and article arrays."""
+        """Conversations as nested records: parallel label and article arrays.
+
+        A record holds up to 16 turns, so that no conversation grows one array.
+        """
         turn = F.struct("turn", "role", "text")
-        nested = self.raw("conversations").groupBy("conv_id").agg(
+        part = F.floor(F.col("turn") / 16).alias("part")
+        nested = self.raw("conversations").groupBy("conv_id", part).agg(
             F.sort_array(F.collect_list(turn)).alias("turns")
         )
         return nested.select(
@@ -204,7 +208,7 @@ class Tables:
         """Event values summed per hour and event type."""
         return self.raw("events").groupBy(
             F.col("event_type").alias("series"),
-            F.expr("cast(floor(cast(unix_timestamp(ts) as bigint) / 3600) as bigint)").alias("hour"),
+            F.expr("timestampdiff(HOUR, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("hour"),
         ).agg(exact_sum(F.col("value")).alias("value"))
 
     @cached_property
@@ -300,7 +304,7 @@ SCORED = """scored AS (
 
 NEWS = """news AS (
   SELECT conv_id, 'company ' || CAST(conv_id % 7 AS VARCHAR) AS entity,
-         role AS label, text AS description, turn
+         role AS label, text AS description, turn // 16 AS part
   FROM conversations)"""
 
 

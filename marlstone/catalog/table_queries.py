@@ -100,7 +100,7 @@ def labelled_corpus_scan(t: Tables):
 @QUERIES.add(
     "nested_records",
     with_(NEWS)
-    + """SELECT entity, count(DISTINCT conv_id) AS records, count(*) AS articles,
+    + """SELECT entity, count(DISTINCT (conv_id, part)) AS records, count(*) AS articles,
            CAST(sum(length(description)) AS BIGINT) AS chars FROM news GROUP BY entity""",
 )
 def nested_records(t: Tables):

@@ -80,7 +80,7 @@ def article_text_field(t: Tables):
     "array_length_match",
     with_(NEWS)
     + """SELECT conv_id % 4 <> 0 OR n = 1 AS length_match, count(*) AS n FROM (
-           SELECT conv_id, count(*) AS n FROM news GROUP BY conv_id) GROUP BY 1""",
+           SELECT conv_id, count(*) AS n FROM news GROUP BY conv_id, part) GROUP BY 1""",
 )
 def array_length_match(t: Tables):
     # Every fourth record keeps one label only.
