@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.sharding import shard_by_bytes
+from marlstone.llm.simhash import simhash_groups
 from marlstone.llm.token_counts import count_tokens
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,9 +29,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(_table(spark, sf_dir, "documents")).drop("print")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
+    "op9_simhash": op9_simhash,
 }
 
 SQL: dict[str, str] = {}
