@@ -24,7 +24,7 @@ def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     n, k = sums.shape
     order = np.argsort(-sums, axis=1, kind="stable")
-    nodes = [np.take_along_axis(sums, order, axis=1)[i] for i in range(n)]
+    nodes = list(np.take_along_axis(sums, order, axis=1))
     # Children of a combined node: (left, right, order of the added parts).
     made: dict[int, tuple[int, int, np.ndarray]] = {}
     heap = [(-int(s[0] - s[-1]), i) for i, s in enumerate(nodes)]
