@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.knn import top_k_inner_product
+from marlstone.llm.licenses import PHRASES, TEMPLATES, license_scan, needed, words_of
 from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups
 from marlstone.llm.token_counts import count_tokens
@@ -20,6 +21,65 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+LICENSE_THRESHOLD = 0.9
+LICENSE_WINDOW = 48
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(
+        _table(spark, sf_dir, "documents"), threshold=LICENSE_THRESHOLD, window=LICENSE_WINDOW
+    )
+
+
+def _op1_sql() -> str:
+    """Every block of every text against every template."""
+
+    def place(words: list[str]) -> str:
+        return " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words))
+
+    def sql_list(words) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    phrases = {label: place(words_of(phrase)) for phrase, label in PHRASES.items()}
+    places = " OR ".join(f"({p})" for p in phrases.values())
+    bases = ", ".join(
+        f"CASE WHEN len(list_filter(range(1, len(w) + 1), lambda i: {p})) > 0 THEN '{label}' END"
+        for label, p in phrases.items()
+    )
+    sets = [(label, sorted(set(words_of(text)))) for label, text in TEMPLATES]
+    templates = ", ".join(
+        f"('{label}', {sql_list(words)}, {needed(len(words), LICENSE_THRESHOLD)})"
+        for label, words in sets
+    )
+    half = LICENSE_WINDOW // 2
+    return f"""
+WITH t(label, words, need) AS (VALUES {templates}), d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (
+  SELECT doc_id, w, list_filter(range(1, len(w) + 1), lambda i: {places}) AS places,
+    list_filter([{bases}], lambda x: x IS NOT NULL) AS base
+  FROM d
+), b AS (
+  SELECT doc_id, list_distinct(w[b * {half} + 1 : b * {half} + {LICENSE_WINDOW}]) AS own
+  FROM (SELECT doc_id, w, unnest(range(0, (len(w) + {half - 1}) // {half})) AS b FROM d)
+), m AS (
+  SELECT doc_id, list(DISTINCT label) AS found, max(shared / size) AS part
+  FROM (SELECT doc_id, label, need, len(words) AS size, len(list_intersect(own, words)) AS shared
+        FROM b, t)
+  WHERE shared >= need GROUP BY doc_id
+)
+SELECT p.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+  list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
+  array_to_string(list_sort(base), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels,
+  CAST(CASE WHEN len(places) > 0 THEN 1 ELSE coalesce(part, 0) END AS DOUBLE) AS score
+FROM p LEFT JOIN m USING (doc_id)
+"""
+
+
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +140,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_top_k": op6_top_k,
     "op7_token_counts": op7_token_counts,
@@ -88,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_license_scan": _op1_sql(),
     "op5_vector_dedup": _OP5_SQL,
     "op6_top_k": _OP6_SQL,
 }
