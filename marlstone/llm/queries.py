@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.knn import top_k_inner_product
 from marlstone.llm.licenses import PHRASES, TEMPLATES, license_scan, needed, words_of
+from marlstone.llm.mixing import mix_sources
 from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups
 from marlstone.llm.token_counts import count_tokens
@@ -80,6 +81,10 @@ FROM p LEFT JOIN m USING (doc_id)
 """
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -141,6 +146,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_mixing": op2_mixing,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_top_k": op6_top_k,
     "op7_token_counts": op7_token_counts,
