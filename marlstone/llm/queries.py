@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.knn import top_k_inner_product
+from marlstone.llm.language import LanguageModel, fit_languages, identify_languages
 from marlstone.llm.licenses import PHRASES, TEMPLATES, license_scan, needed, words_of
 from marlstone.llm.mixing import mix_sources
+from marlstone.llm.quality import QualityModel, fit_quality, score_quality
 from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups
 from marlstone.llm.token_counts import count_tokens
@@ -85,6 +87,35 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id as text, by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+LANGUAGE_HELD_OUT = 2
+QUALITY_HELD_OUT = 0
+
+
+def language_model(documents: DataFrame) -> LanguageModel:
+    return fit_languages(documents.where(_remainder(4) != LANGUAGE_HELD_OUT))
+
+
+def quality_model(documents: DataFrame, labels: DataFrame) -> QualityModel:
+    return fit_quality(documents, labels.where(_remainder(5) != QUALITY_HELD_OUT))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    found = identify_languages(documents, language_model(documents))
+    return found.withColumn("held_out", _remainder(4) == LANGUAGE_HELD_OUT)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    found = score_quality(documents, quality_model(documents, _table(spark, sf_dir, "labels")))
+    return found.withColumn("held_out", _remainder(5) == QUALITY_HELD_OUT)
+
+
 def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -147,6 +178,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
+    "op4_quality": op4_quality,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_top_k": op6_top_k,
     "op7_token_counts": op7_token_counts,
