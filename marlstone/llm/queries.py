@@ -11,6 +11,7 @@ from marlstone.llm.knn import top_k_inner_product
 from marlstone.llm.language import LanguageModel, fit_languages, identify_languages
 from marlstone.llm.licenses import PHRASES, TEMPLATES, license_scan, needed, words_of
 from marlstone.llm.mixing import mix_sources
+from marlstone.llm.packing import pack_documents
 from marlstone.llm.quality import QualityModel, fit_quality, score_quality
 from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups
@@ -94,6 +95,7 @@ def _remainder(divisor: int) -> Column:
 
 LANGUAGE_HELD_OUT = 2
 QUALITY_HELD_OUT = 0
+QUALITY_THRESHOLD = 0.3
 
 
 def language_model(documents: DataFrame) -> LanguageModel:
@@ -112,7 +114,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    found = score_quality(documents, quality_model(documents, _table(spark, sf_dir, "labels")))
+    model = quality_model(documents, _table(spark, sf_dir, "labels"))
+    found = score_quality(documents, model, threshold=QUALITY_THRESHOLD)
     return found.withColumn("held_out", _remainder(5) == QUALITY_HELD_OUT)
 
 
@@ -172,7 +175,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(_table(spark, sf_dir, "documents")).drop("print")
+    groups = simhash_groups(_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "fingerprint", "component_id")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -185,6 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
