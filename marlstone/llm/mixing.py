@@ -272,7 +272,7 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, in its own columns."""
     name = "_row"
-    while name in docs.columns:
+    while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
     copies = mix_sources(docs, **options).where(F.col("copies") > 0)
     numbered = docs.withColumn(name, F.monotonically_increasing_id())

@@ -184,12 +184,14 @@ def simhash_groups(
     words: int = 3,
     radius: int = 3,
 ) -> DataFrame:
-    """Every row's id, print (long), fingerprint (hex) and component_id.
+    """Every row's id, fingerprint (hex), component_id, component and row.
 
     Rows with one fingerprint are one class, however many; classes link at
     ``radius`` or fewer differing bits, found by exact comparison of all
     classes that can be that near. component_id is the smallest id reachable,
-    a class's own rows included. No pair of rows is ever listed.
+    a class's own rows included. No pair of rows is ever listed. ``component`` is a
+    number of the component; ``row`` numbers the rows of ``docs`` and can be joined back
+    as long as ``docs`` reads the same rows in the same partitions, as stored files do.
 
     Null and empty texts have the fingerprint zero and link like any other. Ids may
     repeat; null ids take their component's smallest id, or null if it has none. An
@@ -197,7 +199,9 @@ def simhash_groups(
     """
     rows = store(
         docs.select(
-            F.col(id_col).alias("_id"), fingerprint_column(F.col(text_col), words).alias("print")
+            F.col(id_col).alias("_id"),
+            fingerprint_column(F.col(text_col), words).alias("print"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     classes = store(rows.groupBy("print").agg(F.min("_id").alias("first")))
@@ -209,11 +213,27 @@ def simhash_groups(
         "component", F.coalesce("component", "print")
     )
     smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = labelled.join(smallest, "component").select("print", "component_id")
+    named = labelled.join(smallest, "component").select("print", "component_id", "component")
     out = rows.join(named, "print")
     return out.select(
         F.col("_id").alias(id_col),
-        "print",
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         "component_id",
+        "component",
+        "row",
     )
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group the one with the smallest id.
+
+    Null ids come last; of repeated ids one row stays. Columns are those of ``docs``.
+    """
+    groups = simhash_groups(docs, id_col, **options)
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row"))
+    name = "_row"
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    kept = groups.groupBy("component").agg(F.min_by("row", order).alias(name)).select(name)
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    return numbered.join(kept, name, "left_semi").select(*docs.columns)
