@@ -66,7 +66,8 @@ def fingerprint_column(text: Column, words: int = 3) -> Column:
 
 def _quarters(prints: np.ndarray) -> np.ndarray:
     """Population counts of the four 16-bit quarters, a row per fingerprint."""
-    return np.bitwise_count(prints.view("<u2").reshape(-1, 4)).astype(np.int16)
+    halves = np.ascontiguousarray(prints).view("<u2").reshape(-1, 4)
+    return np.bitwise_count(halves).astype(np.int16)
 
 
 def _boxes(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
