@@ -49,7 +49,7 @@ class Tables:
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_extendedprice").alias("price"),
-            (price * tax).cast("decimal(18,2)").cast("double").alias("shipping_cost"),
+            (price * tax).cast("double").alias("shipping_cost"),
         )
 
     @cached_property
@@ -185,13 +185,9 @@ class Tables:
 
     @cached_property
     def news(self) -> DataFrame:
-        """Conversations as nested records: parallel label and article arrays.
-
-        A record holds up to 16 turns, so that no conversation grows one array.
-        """
+        """Conversations as nested records, one each: parallel label and article arrays."""
         turn = F.struct("turn", "role", "text")
-        part = F.floor(F.col("turn") / 16).alias("part")
-        nested = self.raw("conversations").groupBy("conv_id", part).agg(
+        nested = self.raw("conversations").groupBy("conv_id").agg(
             F.sort_array(F.collect_list(turn)).alias("turns")
         )
         return nested.select(
@@ -229,8 +225,8 @@ class Tables:
 ITEMS = """items AS (
   SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
          l_extendedprice AS price,
-         CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))
-              AS DECIMAL(18,2)) AS DOUBLE) AS shipping_cost
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DOUBLE)
+           AS shipping_cost
   FROM lineitem)"""
 
 PRODUCTS = """products AS (
@@ -304,7 +300,7 @@ SCORED = """scored AS (
 
 NEWS = """news AS (
   SELECT conv_id, 'company ' || CAST(conv_id % 7 AS VARCHAR) AS entity,
-         role AS label, text AS description, turn // 16 AS part
+         role AS label, text AS description
   FROM conversations)"""
 
 

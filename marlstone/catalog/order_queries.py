@@ -19,14 +19,14 @@ from marlstone.catalog.registry import Registry
 from marlstone.functions.dates import days_between, whole_days
 from marlstone.operators.grouping import latest_per_key, with_group_count, with_group_stats
 from marlstone.operators.profile import value_counts
-from marlstone.functions.numbers import exact_sum, map_classes
+from marlstone.functions.numbers import exact_sum, map_classes, rounded_sum
 from marlstone.plans import orders as plan
 
 QUERIES = Registry()
 
 TOTALS = """SELECT order_id,
   CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_price_of_order,
-  CAST(sum(CAST(shipping_cost AS DECIMAL(18,2))) AS DOUBLE) AS total_shipping_of_order
+  CAST(round(sum(CAST(shipping_cost AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_shipping_of_order
   FROM items GROUP BY order_id"""
 
 
@@ -43,7 +43,7 @@ ITEM_FEATURES = f"""item_lines AS (
 item_totals AS (
   SELECT order_id, count(order_item_id) AS total_items_in_order,
          CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_price_of_order,
-         CAST(sum(CAST(shipping_cost AS DECIMAL(18,2))) AS DOUBLE) AS total_shipping_of_order
+         CAST(round(sum(CAST(shipping_cost AS DECIMAL(18,4))), 2) AS DOUBLE) AS total_shipping_of_order
   FROM items GROUP BY order_id),
 item_products AS (
   SELECT order_id,
@@ -120,6 +120,22 @@ def order_totals(t: Tables):
     return plan.order_totals(t.items)
 
 
+@QUERIES.add(
+    "order_charges",
+    """SELECT l_orderkey AS order_id,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE) AS charges,
+         CAST(round(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))), 2) AS DOUBLE)
+           AS rounded_charges
+       FROM lineitem GROUP BY l_orderkey""",
+)
+def order_charges(t: Tables):
+    """Amounts of four decimals: nothing is rounded before the sum."""
+    charge = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)")
+    return t.raw("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        exact_sum(charge).alias("charges"), rounded_sum(charge).alias("rounded_charges")
+    )
+
+
 @QUERIES.add(
     "order_lines_with_totals",
     with_(ITEMS, f"totals AS ({TOTALS})")
@@ -131,8 +147,8 @@ def order_lines_with_totals(t: Tables):
         t.items,
         "order_id",
         {
-            "total_price_of_order": exact_sum(F.col("price")),
-            "total_shipping_of_order": exact_sum(F.col("shipping_cost")),
+            "total_price_of_order": rounded_sum(F.col("price")),
+            "total_shipping_of_order": rounded_sum(F.col("shipping_cost")),
         },
     )
 

@@ -45,7 +45,7 @@ QUERIES = Registry()
 
 
 def exact_avg(col: str) -> str:
-    """Mean of cents from the exact sum."""
+    """Mean from the exact sum."""
     return f"(CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE) / count({col}))"
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from marlstone.catalog.bindings import GIFTS, HOURLY, SCORED, Tables, with_
 from marlstone.catalog.registry import Registry
-from marlstone.functions.numbers import argmax, cents, confidence, exact_mean, last_step, softmax
+from marlstone.functions.numbers import argmax, confidence, exact, exact_mean, last_step, softmax
 from marlstone.operators import evaluate, ordered, ranking
+from marlstone.session import stable
 
 QUERIES = Registry()
 
@@ -73,8 +74,8 @@ def chronological_split(t: Tables):
 )
 def running_event_value(t: Tables):
     events = t.raw("events").select("event_id", "value")
-    total = ordered.running_total(events, [], ["event_id"], cents(F.col("value")), "running_value")
-    return total.select("event_id", (F.col("running_value") / 100).alias("running_value"))
+    total = ordered.running_total(events, [], ["event_id"], exact(F.col("value")), "running_value")
+    return total.select("event_id", F.col("running_value").cast("double").alias("running_value"))
 
 
 @QUERIES.add(
@@ -106,6 +107,48 @@ def highest_scores(t: Tables):
     return ranking.score_tail(t.scored.select("id", "score"), "score", "id", 0.1, "top")
 
 
+_GAPPY = """gappy AS (
+  SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS id,
+         CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) % 97 AS DOUBLE) END
+           AS score
+  FROM orders)"""
+
+
+def _gappy(t: Tables):
+    """Scores with nulls and many ties, and text keys."""
+    score = (F.floor("o_totalprice").cast("long") % 97).cast("double")
+    return t.raw("orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.when(F.col("o_orderkey") % 7 != 0, score).alias("score"),
+    )
+
+
+@QUERIES.add(
+    "gappy_score_deciles",
+    with_(_GAPPY)
+    + """SELECT id, score, CAST(ntile(10) OVER (ORDER BY score DESC NULLS LAST, id) AS INTEGER) AS decile
+         FROM gappy""",
+)
+def gappy_score_deciles(t: Tables):
+    return ranking.score_deciles(_gappy(t), "score", "id")
+
+
+@QUERIES.add(
+    "gappy_score_tails",
+    with_(_GAPPY)
+    + """SELECT CASE WHEN rn > n - floor(n * 0.3) THEN 'top' ELSE 'bottom' END AS side, id, score FROM (
+           SELECT id, score, row_number() OVER (ORDER BY score NULLS FIRST, id) AS rn,
+             count(*) OVER () AS n FROM gappy)
+         WHERE rn > n - floor(n * 0.3) OR rn <= floor(n * 0.3)""",
+)
+def gappy_score_tails(t: Tables):
+    tails = [
+        ranking.score_tail(_gappy(t), "score", "id", 0.3, side).select(F.lit(side).alias("side"), "id", "score")
+        for side in ("top", "bottom")
+    ]
+    return tails[0].unionByName(tails[1])
+
+
 # --- reports on scored tables ---------------------------------------------------------
 
 
@@ -285,10 +328,8 @@ def segment_profile(t: Tables):
 )
 def segment_category_shares(t: Tables):
     scored, dims = _customer_scores(t)
-    shares, _ = evaluate.segment_report(
-        scored, "donorID", "score", dims, ["c_mktsegment", "c_nationkey"], ["frequency"]
-    )
-    return shares
+    tails = evaluate.segment_tails(scored, "donorID", "score", dims)
+    return evaluate.segment_shares(tails, ["c_mktsegment", "c_nationkey"])
 
 
 @QUERIES.add(
@@ -307,9 +348,10 @@ def segment_category_shares(t: Tables):
 )
 def segment_measures(t: Tables):
     scored, dims = _customer_scores(t)
-    _, lines = evaluate.segment_report(
-        scored, "donorID", "score", dims, ["c_mktsegment"], ["frequency", "mean_price"]
-    )
+    tails = evaluate.segment_tails(scored, "donorID", "score", dims)
+    measures = ["frequency", "mean_price"]
+    stored = {side: stable(tail.select(*measures)) for side, tail in tails.items()}
+    lines = evaluate.segment_measures(stored, measures)
     return lines.withColumns({c: F.round(c, 4) for c in ("mean", "stddev", "q25", "median", "q75")})
 
 

@@ -10,36 +10,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(col: Column) -> Column:
-    """Money as whole cents, so that sums do not depend on row order."""
-    return F.rint(col * 100).cast("long")
+def exact(col: Column) -> Column:
+    """A number with all its decimals (up to twelve), whose sums do not depend on row order."""
+    return col.cast("decimal(38,12)")
 
 
 def exact_sum(col: Column) -> Column:
-    """Sum of money amounts as double, independent of row order."""
-    return F.sum(cents(col)) / 100
+    """Sum as double, of the numbers as they are, independent of row order."""
+    return F.sum(exact(col)).cast("double")
+
+
+def rounded_sum(col: Column, digits: int = 2) -> Column:
+    """Sum as double, rounded once at the end, half away from zero."""
+    return F.round(F.sum(exact(col)), digits).cast("double")
 
 
 def exact_mean(col: Column) -> Column:
-    """Mean of money amounts from the exact sum; null for an empty group."""
+    """Mean from the exact sum; null for an empty group."""
     return F.try_divide(exact_sum(col), F.count(col))
 
 
-def square_cents(col: Column) -> Column:
-    """Squared cents as decimal: their sum outgrows a long."""
-    whole = cents(col).cast("decimal(19,0)")
-    return whole * whole
+def exact_square(col: Column) -> Column:
+    """Square as decimal of a number of up to six decimals."""
+    return col.cast("decimal(18,6)") * col.cast("decimal(18,6)")
 
 
 def stddev_from_sums(n: Column, total: Column, squares: Column) -> Column:
-    """Sample standard deviation of money from count, sum and sum of squares in cents.
+    """Sample standard deviation from count, sum and sum of squares (decimals).
 
-    Squared deviations from the mean in exact decimals: no cancellation error.
+    Squared deviations from the mean in exact decimals: no cancellation error
+    while the sum has at most 13 digits before the point, doubles beyond.
     Null below two rows.
     """
-    total = total.cast("decimal(19,0)")
-    spread = (squares - total * total / n.cast("decimal(12,0)")).cast("double")
-    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)) / 100)
+    short = total.try_cast("decimal(19,6)")
+    spread = (squares - short * short / n.cast("decimal(12,0)")).cast("double")
+    wide = squares.cast("double") - total.cast("double") * total.cast("double") / n
+    deviation = F.greatest(F.coalesce(spread, wide), F.lit(0.0))
+    return F.when(n > 1, F.sqrt(deviation / (n - 1)))
 
 
 def parse_decimal_comma(text: Column) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from marlstone.operators.profile import compare_distributions, summarize
 from marlstone.operators.ranking import score_deciles, score_tail
-from marlstone.session import stable
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -158,24 +157,18 @@ def profile_segment(scored: DataFrame, dims: Sequence[DataFrame], key: str) -> D
     return scored
 
 
-def segment_report(
-    scored: DataFrame,
-    key: str,
-    score: str,
-    dims: Sequence[DataFrame],
-    categories: Sequence[str],
-    measures: Sequence[str],
-    fraction: float = 0.1,
-) -> tuple[DataFrame, DataFrame]:
-    """Compare the top and bottom tail of a score.
-
-    Returns (category shares: attribute, category, top_percent, low_percent) and
-    (measure summaries: segment, column_name, count, mean, ..., max).
-    """
-    tails = {
-        side: stable(profile_segment(score_tail(scored, score, key, fraction, side), dims, key))
+def segment_tails(
+    scored: DataFrame, key: str, score: str, dims: Sequence[DataFrame], fraction: float = 0.1
+) -> dict[str, DataFrame]:
+    """The top and bottom tail of a score with the columns of their dimensions."""
+    return {
+        side: profile_segment(score_tail(scored, score, key, fraction, side), dims, key)
         for side in ("top", "bottom")
     }
+
+
+def segment_shares(tails: dict[str, DataFrame], categories: Sequence[str]) -> DataFrame:
+    """(attribute, category, top_percent, low_percent) of the two tails."""
     shares = None
     for attribute in categories:
         part = compare_distributions(tails["top"], tails["bottom"], attribute).select(
@@ -185,8 +178,17 @@ def segment_report(
             F.col("percent_b").alias("low_percent"),
         )
         shares = part if shares is None else shares.unionByName(part)
+    return shares
+
+
+def segment_measures(tails: dict[str, DataFrame], measures: Sequence[str]) -> DataFrame:
+    """(segment, column_name, count, mean, ..., max) of the two tails.
+
+    Each tail's measures are read several times for the exact quartiles: store the
+    tails first where they are costly.
+    """
     lines = None
     for side, name in (("top", "top"), ("bottom", "low")):
         part = summarize(tails[side], measures).select(F.lit(name).alias("segment"), "*")
         lines = part if lines is None else lines.unionByName(part)
-    return shares, lines
+    return lines

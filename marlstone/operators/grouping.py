@@ -7,19 +7,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.session import broadcast_if_small, stable
-
 
 def with_group_stats(df: DataFrame, key: str, stats: Mapping[str, Column]) -> DataFrame:
     """Every row with aggregates of its key.
 
     An aggregate with map-side combine and a join back: unlike a window
     partitioned by the key, a key with very many rows is combined in every map
-    task and its rows can be split over several join tasks. With few keys the
-    stored aggregate is broadcast (checked), so the rows are not moved at all.
+    task and its rows can be split over several join tasks. Adaptive execution
+    measures the aggregate and broadcasts it where it is small.
     """
-    grouped = stable(df.groupBy(key).agg(*[c.alias(name) for name, c in stats.items()]))
-    return df.join(broadcast_if_small(grouped), key, "left")
+    grouped = df.groupBy(key).agg(*[c.alias(name) for name, c in stats.items()])
+    return df.join(grouped, key, "left")
 
 
 def with_group_count(df: DataFrame, key: str, counted: str, out: str) -> DataFrame:
@@ -57,9 +55,13 @@ def ratio_of_groups(
 
 
 def order_by_total(df: DataFrame, category: str, count: str) -> DataFrame:
-    """Rows of a count table with their category total, smallest category first."""
-    totals = df.groupBy(category).agg(F.sum(count).alias("total"))
-    return df.join(totals, category).orderBy("total", category)
+    """Rows of a count table with their category total, smallest category first.
+
+    Null is a category like any other, and the first among equal totals.
+    """
+    totals = df.groupBy(F.col(category).alias("_category")).agg(F.sum(count).alias("total"))
+    same = F.col(category).eqNullSafe(F.col("_category"))
+    return df.join(totals, same, "left").drop("_category").orderBy("total", category)
 
 
 def first_group(df: DataFrame, order: Sequence[str], group: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marlstone.session import broadcast_if_small, stable
+from marlstone.session import stable
 
 _BLOCK = "_block"
 _KEY = "_key"
@@ -155,7 +155,8 @@ def split_chronological(
     df: DataFrame, series: str, ts: str, fraction: float = 0.2, out: str = "is_test"
 ) -> DataFrame:
     """Flag the last ``ceil(fraction * count)`` rows of each series as test rows."""
-    counts = stable(df.groupBy(series).agg(F.count(F.lit(1)).alias("_rows")))
-    placed = row_numbers(df, [series], [ts], "_position").join(broadcast_if_small(counts), series)
+    counts = df.groupBy(F.col(series).alias("_series")).agg(F.count(F.lit(1)).alias("_rows"))
+    same = F.col(series).eqNullSafe(F.col("_series"))
+    placed = row_numbers(df, [series], [ts], "_position").join(counts, same, "left").drop("_series")
     train = F.col("_rows") - F.ceil(F.col("_rows") * fraction)
     return placed.withColumn(out, F.col("_position") > train).drop("_position", "_rows")

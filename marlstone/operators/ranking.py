@@ -3,31 +3,78 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.operators.selection import select_ranks
+from marlstone.operators.selection import find_ranks, tie_at
+from marlstone.session import stable
 
 
-def _boundary_rows(df: DataFrame, key: Column, tie: Column, ranks: list[int]) -> dict:
-    """(key, tie) of the rows at the given positions in ascending (key, tie) order."""
-    if not ranks:
-        return {}
-    keys = select_ranks(df, {"key": key}, {"key": ranks})["key"]
-    distinct = sorted(set(keys.values()))
-    counts = df.agg(*[F.count_if(key < v).alias(f"_{i}") for i, v in enumerate(distinct)]).first()
-    before = dict(zip(distinct, counts, strict=True))
-    # Among the rows with the same key, the position goes on by the tie.
-    among = {str(v): F.when(key == v, tie) for v in distinct}
-    inner = {str(v): [r - before[v] for r in ranks if keys[r] == v] for v in distinct}
-    ties = select_ranks(df, among, inner)
-    return {r: (keys[r], ties[str(keys[r])][r - before[keys[r]]]) for r in ranks}
+@dataclass(frozen=True)
+class _Order:
+    """A total order of rows: class of the score (null, value, NaN), score, key."""
 
+    kind: Column
+    value: Column  # 0 where the score is no number
+    tie: Column
 
-def _after(key: Column, tie: Column, boundary: tuple) -> Column:
-    at_key, at_tie = boundary
-    return (key > at_key) | ((key == at_key) & (tie > at_tie))
+    @classmethod
+    def of(cls, score: str, key: str, descending: bool) -> _Order:
+        """As Spark sorts: ascending null, numbers, NaN; descending the other way round."""
+        s = F.col(score).cast("double")
+        nan, null = (0, 2) if descending else (2, 0)
+        kind = F.when(s.isNull(), null).when(F.isnan(s), nan).otherwise(1)
+        signed = -s if descending else s
+        return cls(kind, F.when(kind == 1, signed).otherwise(F.lit(0.0)), F.col(key))
+
+    def after(self, kind: int, value: float, tie) -> Column:
+        same = (self.kind == kind) & (self.value == value)
+        beyond = (self.kind > kind) | ((self.kind == kind) & (self.value > value))
+        return beyond | (same & F.coalesce(self.tie > F.lit(tie), F.lit(False)))
+
+
+def _boundaries(
+    df: DataFrame, order: _Order, positions: Callable[[int], list[int]]
+) -> tuple[int, dict[int, tuple]]:
+    """Number of rows, and (kind, value, key) of the rows at the positions wanted.
+
+    At most four passes over ``df``: two for the score and two that store the
+    candidates between counted values and the rows that tie with a boundary.
+    """
+    counts: dict[int, int] = {}
+
+    def ranks(sizes: dict[str, int], kinds: list) -> dict[str, list[int]]:
+        counts.update({0: kinds[0], 1: sizes["score"], 2: kinds[1]})
+        inner = [p - counts[0] for p in positions(sum(counts.values()))]
+        return {"score": [r for r in inner if 0 < r <= counts[1]]}
+
+    number = F.when(order.kind == 1, order.value)
+    kinds = [F.count_if(order.kind == k) for k in (0, 2)]
+    found = find_ranks(df, {"score": number}, ranks, kinds)["score"]
+    total = sum(counts.values())
+    places: dict[int, tuple[int, float, int]] = {}
+    for p in positions(total):
+        if p <= counts[0]:
+            places[p] = (0, 0.0, p)
+        elif p <= counts[0] + counts[1]:
+            value, below = found[p - counts[0]]
+            places[p] = (1, value, p - counts[0] - below)
+        else:
+            places[p] = (2, 0.0, p - counts[0] - counts[1])
+    if not places:
+        return total, {}
+    groups = sorted({(kind, value) for kind, value, _ in places.values()})
+    tied = F.lit(None).cast("int")
+    for g, (kind, value) in enumerate(groups):
+        tied = F.when((order.kind == kind) & (order.value == value), g).otherwise(tied)
+    ties = stable(df.select(tied.alias("g"), order.tie.alias("tie")).where(F.col("g").isNotNull()))
+    return total, {
+        p: (kind, value, tie_at(ties, groups.index((kind, value)), rank))
+        for p, (kind, value, rank) in places.items()
+    }
 
 
 def score_deciles(
@@ -36,19 +83,22 @@ def score_deciles(
     """Equal-sized buckets 1..n, bucket 1 with the highest scores.
 
     Same result as ``ntile(n)`` over (score descending, key ascending): the
-    first ``count % n`` buckets hold one row more. ``key`` is a unique number.
+    first ``count % n`` buckets hold one row more; NaN scores come first, null
+    scores last. ``key`` is a unique number or text without nulls.
     Only the n - 1 boundary rows are looked up; rows are then labelled by
     comparing with them, so nothing is sorted or moved.
     """
-    order, tie = -F.col(score), F.col(key)
-    rows = df.count()
-    small, extra = divmod(rows, n)
-    ends = [small * i + min(i, extra) for i in range(1, n)]
-    ends = sorted({e for e in ends if 0 < e < rows})
-    boundaries = _boundary_rows(df, order, tie, ends)
+    order = _Order.of(score, key, descending=True)
+
+    def ends(rows: int) -> list[int]:
+        small, extra = divmod(rows, n)
+        marks = {small * i + min(i, extra) for i in range(1, n)}
+        return sorted(e for e in marks if 0 < e < rows)
+
+    _, boundaries = _boundaries(df, order, ends)
     label = F.lit(1)
-    for end in ends:
-        label = label + _after(order, tie, boundaries[end]).cast("int")
+    for boundary in boundaries.values():
+        label = label + order.after(*boundary).cast("int")
     return df.withColumn(out, label)
 
 
@@ -57,19 +107,20 @@ def score_tail(
 ) -> DataFrame:
     """The ``floor(fraction * count)`` rows with the highest or lowest scores.
 
-    Rows are ordered by (score, key) ascending; the top tail is the end of
-    that order. ``key`` is a unique number.
+    Rows are ordered by (score, key) ascending, null scores first and NaN last; the
+    top tail is the end of that order. ``key`` is a unique number or text without nulls.
     """
-    rows = df.count()
-    size = math.floor(rows * fraction)
-    order, tie = F.col(score), F.col(key)
-    if size == 0:
-        return df.where(F.lit(False))
-    if size >= rows:
-        return df
-    cut = size if side == "bottom" else rows - size
-    boundary = _boundary_rows(df, order, tie, [cut])[cut]
-    beyond = _after(order, tie, boundary)
+    order = _Order.of(score, key, descending=False)
+
+    def cut(rows: int) -> list[int]:
+        size = math.floor(rows * fraction)
+        at = size if side == "bottom" else rows - size
+        return [at] if 0 < size < rows else []
+
+    rows, boundaries = _boundaries(df, order, cut)
+    if not boundaries:
+        return df if math.floor(rows * fraction) >= rows else df.where(F.lit(False))
+    beyond = order.after(*next(iter(boundaries.values())))
     return df.where(~beyond if side == "bottom" else beyond)
 
 

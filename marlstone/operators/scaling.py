@@ -6,21 +6,19 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.session import broadcast_if_small, stable
-
-# More dummy columns than this are a modelling mistake (and no sensible plan).
-MAX_LEVELS = 2_000
+from marlstone.operators.ordered import row_numbers
 
 
 def learn_levels(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct values of a category column; an error beyond ``MAX_LEVELS``."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{col} has more than {MAX_LEVELS} levels")
+    """Sorted distinct values of a category column, which become columns of a plan.
+
+    For categories of a known, short list; open ones are numbered with
+    ``index_labels``, whose labels stay in the cluster.
+    """
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -96,15 +94,20 @@ class MinMaxScaler:
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight ``n / (classes * n_class)`` on every row."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    """Weight ``n / (classes * n_class)`` on every row; null labels are a class of their own."""
+    counts = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
     totals = counts.agg(F.sum("_n") / F.count(F.lit(1))).scalar()
-    weights = counts.select(label, (totals / F.col("_n")).alias(out))
-    # One line per class: without the broadcast every row would move to its class.
-    return df.join(broadcast_if_small(stable(weights)), label)
+    weights = counts.select("_class", (totals / F.col("_n")).alias(out))
+    return df.join(weights, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
 
 
 def index_labels(df: DataFrame, col: str, out: str = "class_index") -> DataFrame:
-    """Zero-based position of each label in alphabetical order."""
-    indexer = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc")
-    return indexer.fit(df).transform(df).withColumn(out, F.col(out).cast("int"))
+    """Zero-based position of each label in alphabetical order; null for null.
+
+    The distinct labels are numbered in range partitions and joined back, so their
+    number doesn't matter.
+    """
+    labels = df.select(F.col(col).alias("_label")).where(F.col(col).isNotNull()).distinct()
+    numbered = row_numbers(labels, [], ["_label"], "_number")
+    codes = numbered.select("_label", (F.col("_number") - 1).cast("int").alias(out))
+    return df.join(codes, F.col(col) == F.col("_label"), "left").drop("_label")

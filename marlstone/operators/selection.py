@@ -1,21 +1,28 @@
 """Exact order statistics of large columns without a global sort.
 
-A search looks for the value at one rank of one numeric expression. Each round takes an approximate percentile on both sides of the wanted rank, counts
-the rows below the bracket exactly, and repeats inside the bracket. A round is
-one partial aggregation (no shuffle of rows) and shrinks the candidates by
-about three orders of magnitude, so a few rounds suffice at any size. The last
-step looks at no more than ``_FINAL_ROWS`` candidates per request.
+A search looks for the value at one rank of one numeric expression. Two passes over
+the table, whatever its size, leave few rows to look at: one takes a grid of
+approximate percentiles, one counts the rows below each grid value next to a
+wanted rank. What lies strictly between two of them, about two thousandths
+of the rows per rank, is stored as a table of its own, and the rest of the search
+reads only that: each round takes an approximate percentile on both sides of the wanted
+rank, counts exactly, and goes on inside the bracket, until at most
+``_FINAL_ROWS`` candidates per rank are left.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marlstone.session import stable
+
+_GRID = 1_000
 _ACCURACY = 10_000
 _FINAL_ROWS = 5_000
 
@@ -30,14 +37,22 @@ class _Search:
     below: int = 0  # rows known to sort before every candidate
     inside: int = 0  # number of candidates
     found: object = None
+    before: int = 0  # rows below the value found
+
+    def settle(self, value, before: int) -> None:
+        self.found, self.before = value, before
 
     def candidates(self) -> Column:
-        inside = F.lit(True)
-        if self.low is not None:
-            inside = inside & (self.value > self.low)
-        if self.high is not None:
-            inside = inside & (self.value < self.high)
-        return F.when(inside, self.value)
+        return F.when(_between(self.value, self.low, self.high), self.value)
+
+
+def _between(value: Column, low, high) -> Column:
+    inside = value.isNotNull()
+    if low is not None:
+        inside = inside & (value > F.lit(low))
+    if high is not None:
+        inside = inside & (value < F.lit(high))
+    return inside
 
 
 def _one_row(df: DataFrame, exprs: Sequence[Column]) -> list:
@@ -87,13 +102,13 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
         if rank <= before:
             s.high, s.inside = low, before
         elif rank <= before + at_low:
-            s.found = low
+            s.settle(low, s.below + before)
         elif rank <= before + at_low + between:
             s.low, s.high = low, high
             s.below += before + at_low
             s.inside = between
         elif rank <= before + at_low + between + at_high:
-            s.found = high
+            s.settle(high, s.below + before + at_low + between)
         else:
             settled = before + at_low + between + at_high
             s.low = high
@@ -101,45 +116,125 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             s.inside -= settled
 
 
-def select_ranks(
-    df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str, Iterable[int]]
-) -> dict[str, dict[int, object]]:
-    """The values at the given 1-based ascending ranks of each named expression.
+def _finish(df: DataFrame, searches: list[_Search]) -> None:
+    """Settle all searches on ``df``, which holds all their candidates."""
+    while wide := [s for s in searches if s.found is None and s.inside > _FINAL_ROWS]:
+        _narrow(df, wide)
+    groups = _sharing([s for s in searches if s.found is None])
+    if not groups:
+        return
+    # At most _FINAL_ROWS values per array; only the wanted entries come back.
+    picks = []
+    for group in groups:
+        ordered = F.sort_array(F.collect_list(group[0].candidates()))
+        wanted = [F.get(ordered, F.lit(s.rank - s.below - 1)) for s in group]
+        picks += [F.struct(v, F.array_position(ordered, v) - 1) for v in wanted]
+    found = iter(_one_row(df, picks))
+    for group in groups:
+        for s in group:
+            value, before = next(found)
+            s.settle(value, s.below + before)
 
-    Nulls and NaN take no part. Ranks must lie within the number of values.
+
+def find_ranks(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    wanted: Callable[[dict[str, int], list], Mapping[str, Iterable[int]]],
+    extra: Sequence[Column] = (),
+) -> dict[str, dict[int, tuple[object, int]]]:
+    """(value, rows below it) at 1-based ascending ranks of each named numeric expression.
+
+    Nulls take no part. ``wanted`` names the ranks once the number of values of each
+    expression and the ``extra`` aggregates are known; they come from the first pass.
     """
+    values = dict(values)
+    grid = [i / _GRID for i in range(_GRID + 1)]
+    first = []
+    for v in values.values():
+        first += [F.count(v), F.percentile_approx(v, grid, _ACCURACY)]
+    row = _one_row(df, [*first, *extra])
+    sizes = {n: row[2 * i] for i, n in enumerate(values)}
+    digests = {n: row[2 * i + 1] or [] for i, n in enumerate(values)}
+    ranks = {n: sorted(set(r)) for n, r in wanted(sizes, row[2 * len(values) :]).items()}
     searches = []
-    sizes = {}
-    if values:
-        exprs = {n: F.when(~F.isnan(v.cast("double")), v) for n, v in values.items()}
-        counts = _one_row(df, [F.count(v) for v in exprs.values()])
-        sizes = dict(zip(exprs, counts, strict=True))
-    for name, wanted in ranks.items():
-        for rank in sorted(set(wanted)):
+    for name, own in ranks.items():
+        for rank in own:
             if not 1 <= rank <= sizes[name]:
                 raise ValueError(f"rank {rank} of {name} outside 1..{sizes[name]}")
-            searches.append(_Search(name, exprs[name], rank, inside=sizes[name]))
-    while True:
-        wide = [s for s in searches if s.found is None and s.inside > _FINAL_ROWS]
-        if not wide:
-            break
-        _narrow(df, wide)
-    groups = _sharing([s for s in searches if s.found is None])
-    if groups:
-        # At most _FINAL_ROWS values per array; only the wanted entries come back.
-        picks = []
-        for group in groups:
-            ordered = F.sort_array(F.collect_list(group[0].candidates()))
-            picks.append(F.array(*[F.get(ordered, F.lit(s.rank - s.below - 1)) for s in group]))
-        for group, found in zip(groups, _one_row(df, picks), strict=True):
-            for s, value in zip(group, found, strict=True):
-                s.found = value
-    out: dict[str, dict[int, object]] = {name: {} for name in ranks}
+            searches.append(_Search(name, values[name], rank, inside=sizes[name]))
+    if not searches:
+        return {name: {} for name in ranks}
+    probes = {name: _probes(digests[name], ranks[name], sizes[name]) for name in ranks}
+    counts = []
+    for name, own in probes.items():
+        for p in own:
+            counts += [F.count_if(values[name] < F.lit(p)), F.count_if(values[name] == F.lit(p))]
+    counted = iter(_one_row(df, counts))
+    known = {n: [(p, next(counted), next(counted)) for p in own] for n, own in probes.items()}
     for s in searches:
-        out[s.name][s.rank] = s.found
+        _bracket(s, known[s.name])
+    left = [s for s in searches if s.found is None]
+    if left:
+        # One column per expression, in as many rows as any of them has candidates.
+        items = []
+        for name in {s.name for s in left}:
+            inside = F.lit(False)
+            for s in left:
+                if s.name == name:
+                    inside = inside | _between(values[name], s.low, s.high)
+            items.append((name, F.when(inside, values[name])))
+        kept = df.select(*[v.alias(f"v{i}") for i, (_, v) in enumerate(items)]).na.drop("all")
+        kept = stable(kept)
+        for i, (name, _) in enumerate(items):
+            for s in left:
+                if s.name == name:
+                    s.value = kept[f"v{i}"]
+        _finish(kept, left)
+    out: dict[str, dict[int, tuple[object, int]]] = {name: {} for name in ranks}
+    for s in searches:
+        out[s.name][s.rank] = (s.found, s.before)
     return out
 
 
+def _probes(digest: list, ranks: Sequence[int], size: int) -> list:
+    """Sorted grid values next to the wanted ranks; a step more than the digest's error."""
+    slack = 1 + 2 * _GRID / _ACCURACY
+    found = set()
+    for rank in ranks:
+        at = rank / size * _GRID
+        for end in (math.floor(at - slack), math.ceil(at + slack)):
+            found.add(digest[min(max(end, 0), _GRID)])
+    return sorted(found)
+
+
+def _bracket(s: _Search, known: list[tuple[object, int, int]]) -> None:
+    """Place a rank between two counted values, or at one of them."""
+    # Rows up to and including each value.
+    at = bisect_left([below + equal for _, below, equal in known], s.rank)
+    if at < len(known):
+        value, below, equal = known[at]
+        if s.rank > below:
+            s.settle(value, below)
+            return
+        s.high, s.inside = value, below
+    if at:
+        value, below, equal = known[at - 1]
+        s.low, s.below = value, below + equal
+        s.inside -= s.below
+
+
+def select_ranks(
+    df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str, Iterable[int]]
+) -> dict[str, dict[int, object]]:
+    """The values at the given 1-based ascending ranks of each named expression.
+
+    Nulls and NaN take no part. Ranks must lie within the number of values.
+    """
+    exprs = {n: F.when(~F.isnan(v.cast("double")), v) for n, v in values.items()}
+    found = find_ranks(df, exprs, lambda sizes, _: ranks)
+    return {n: {r: v for r, (v, _) in own.items()} for n, own in found.items()}
+
+
 def _around(size: int, p: float) -> tuple[int, int, float]:
     """Ranks on both sides of a linear-interpolation percentile, and the way between."""
     position = (size - 1) * p
@@ -151,20 +246,59 @@ def interpolated_percentiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolation percentiles per column (null for an empty column)."""
     exprs = {c: F.col(c).cast("double") for c in wanted}
-    counts = _one_row(df, [F.count(F.when(~F.isnan(e), e)) for e in exprs.values()])
-    sizes = dict(zip(wanted, counts, strict=True))
-    known = {c: e for c, e in exprs.items() if sizes[c]}
-    ranks = {c: [r for p in wanted[c] for r in _around(sizes[c], p)[:2]] for c in known}
-    values = select_ranks(df, known, ranks)
+    exprs = {c: F.when(~F.isnan(e), e) for c, e in exprs.items()}
+    seen: dict[str, int] = {}
+
+    def ranks(sizes: dict[str, int], _: list) -> dict[str, list[int]]:
+        seen.update(sizes)
+        return {
+            c: [r for p in wanted[c] for r in _around(n, p)[:2]] for c, n in sizes.items() if n
+        }
+
+    values = find_ranks(df, exprs, ranks)
     out: dict[str, list[float | None]] = {}
     for c, probabilities in wanted.items():
         out[c] = [None] * len(probabilities)
-        for i, p in enumerate(probabilities if c in known else ()):
-            lower, upper, way = _around(sizes[c], p)
-            low, high = values[c][lower], values[c][upper]
+        for i, p in enumerate(probabilities if seen.get(c) else ()):
+            lower, upper, way = _around(seen[c], p)
+            low, high = values[c][lower][0], values[c][upper][0]
             out[c][i] = low + (high - low) * way
     return out
 
 
 def exact_median(df: DataFrame, col: str) -> float | None:
     return interpolated_percentiles(df, {col: [0.5]})[col][0]
+
+
+#: Bytes of a text that are compared as one number.
+_PREFIX = 7
+
+
+def tie_at(ties: DataFrame, group: int, rank: int):
+    """The ``rank``-th smallest tie of one group of ``ties`` (columns ``g`` and ``tie``).
+
+    Numbers are searched like any value, texts by their bytes, seven at a time:
+    texts that begin alike are searched again by what follows.
+    """
+    own = ties.where(F.col("g") == group)
+    if dict(ties.dtypes)["tie"] not in ("string", "binary"):
+        found = find_ranks(own, {"tie": F.col("tie")}, lambda *_: {"tie": [rank]})
+        return found["tie"][rank][0]
+    at = 0
+    while own.count() > _FINAL_ROWS:
+        part = F.substring(F.encode(F.col("tie").cast("string"), "utf-8"), at * _PREFIX + 1, _PREFIX)
+        whole = F.rpad(F.hex(part), 2 * _PREFIX, "0")
+        # Where nothing follows, the text comes first.
+        number = F.when(F.length(part) == 0, F.lit(-1)).otherwise(F.conv(whole, 16, 10).cast("long"))
+        found = find_ranks(own, {"p": number.cast("long")}, lambda *_, r=rank: {"p": [r]})
+        value, below = found["p"][rank]
+        own, rank, at = own.where(number == value), rank - below, at + 1
+        if value == -1:
+            break
+    # One distinct text, or few rows.
+    ordered = own.groupBy("tie").agg(F.count(F.lit(1)).alias("n")).orderBy("tie").collect()
+    for row in ordered:
+        if rank <= row["n"]:
+            return row["tie"]
+        rank -= row["n"]
+    raise ValueError(f"rank {rank} of ties outside their number")

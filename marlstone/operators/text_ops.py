@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marlstone.functions.numbers import polarity
-from marlstone.session import broadcast_if_small
 
 SENTIMENTS = ("negative", "neutral", "positive")
 
@@ -60,7 +59,7 @@ def lexicon_sentiment(
     one short row per text is shuffled. ``key`` is unique per text, so grouping
     by the kept columns as well changes nothing and keeps the aggregate hashed.
     """
-    lookup = broadcast_if_small(lexicon.select("token", F.col("valence").cast("double")))
+    lookup = lexicon.select("token", F.col("valence").cast("double"))
     exploded = df.select(key, *keep, F.explode_outer(words).alias("token"))
     scored = exploded.join(lookup, "token", "left")
     valence = F.coalesce(F.sum("valence"), F.lit(0.0))
@@ -77,7 +76,7 @@ def lemmatize(
 
     Words come back in their old order. One group is one text.
     """
-    lookup = broadcast_if_small(lemmas.select("token", "lemma"))
+    lookup = lemmas.select("token", "lemma")
     placed = df.select(key, F.posexplode_outer(words).alias("_pos", "token"))
     mapped = placed.join(lookup, "token", "left")
     item = F.struct("_pos", F.coalesce("lemma", "token").alias("word"))

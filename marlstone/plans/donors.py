@@ -16,17 +16,17 @@ from pyspark.sql.window import Window
 
 from marlstone.functions.dates import age_years, parse_dmy
 from marlstone.functions.numbers import (
-    cents,
     cut,
+    exact,
+    exact_square,
     exact_sum,
     interactions,
     parse_decimal_comma,
-    square_cents,
     stddev_from_sums,
 )
 from marlstone.operators.clean import between_dates, fill_constants, history_as_of
 from marlstone.operators.scaling import dummy_columns, dummy_name, learn_levels
-from marlstone.session import fits_broadcast, stable
+from marlstone.session import stable
 
 # --- fixed values: age groups --------------------------------------------------
 AGE_EDGES = [18, 30, 40, 50, 60, 100]
@@ -93,7 +93,7 @@ def campaign_history(
 
 
 def _donor_days(gifts: DataFrame, spec: CampaignSpec) -> DataFrame:
-    """History collapsed to one line per donor, day and campaign (money in cents).
+    """History collapsed to one line per donor, day and campaign (money as exact decimals).
 
     However many gifts a donor has, this leaves at most (days x campaigns)
     lines for them, so everything after it may work donor by donor.
@@ -103,8 +103,8 @@ def _donor_days(gifts: DataFrame, spec: CampaignSpec) -> DataFrame:
     return history.groupBy("donorID", F.to_date("date").alias("date"), "campaignID").agg(
         F.count(F.lit(1)).alias("gifts"),
         F.count(amount).alias("amounts"),
-        F.sum(cents(amount)).alias("total"),
-        F.sum(square_cents(amount)).alias("squares"),
+        F.sum(exact(amount)).alias("total"),
+        F.sum(exact_square(amount)).alias("squares"),
         F.max(amount).alias("largest"),
         F.min(amount).alias("smallest"),
         F.max_by(amount, "gift_id").alias("last_amount"),
@@ -170,12 +170,8 @@ def rfm_features(
         raise ValueError(f"unknown recent_basis: {recent_basis!r}")
     wanted = donors.join(selection.select("donorID"), "donorID", "left_semi")
     ids = wanted.select("donorID")
-    if fits_broadcast(ids):
-        # A short list filters the gifts where they are read.
-        days = _donor_days(gifts.join(F.broadcast(ids), "donorID", "left_semi"), spec)
-    else:
-        # A long list meets the collapsed history, so no donor is too large for the join.
-        days = _donor_days(gifts, spec).join(ids, "donorID", "left_semi")
+    # The list meets the collapsed history, so no donor is too large for the join.
+    days = _donor_days(gifts, spec).join(ids, "donorID", "left_semi")
     dated = campaigns.select("campaignID", F.to_date("date").alias("campaign_date"))
     # Stored: the scalars below and the features read the same collapsed table,
     # and the gifts are scanned once.
@@ -195,11 +191,11 @@ def rfm_features(
     placed = placed.withColumn("is_recent", rank > top_rank - 3)
 
     def mean_amount(condition):
-        total = F.sum(F.when(condition, F.col("total"))) / 100
+        total = F.sum(F.when(condition, F.col("total"))).cast("double")
         return F.try_divide(total, F.sum(F.when(condition, F.col("amounts"))))
 
     n, gift_count = F.sum("amounts"), F.sum("gifts")
-    total = F.sum("total") / 100
+    total = F.sum("total").cast("double")
     lag = F.datediff("date", "campaign_date")
     lagged = F.when(lag.isNotNull(), F.col("gifts"))
     last = F.max(

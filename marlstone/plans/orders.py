@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.dates import days_between, whole_days
-from marlstone.functions.numbers import bucketize, exact_sum, map_classes, product
+from marlstone.functions.numbers import bucketize, map_classes, product, rounded_sum
 from marlstone.operators.grouping import latest_per_key
 
 # --- fixed values: bucket edges and label classes ------------------------------
@@ -35,8 +35,8 @@ NOT_FEATURES = (
 
 def order_totals(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
-        exact_sum(F.col("price")).alias("total_price_of_order"),
-        exact_sum(F.col("shipping_cost")).alias("total_shipping_of_order"),
+        rounded_sum(F.col("price")).alias("total_price_of_order"),
+        rounded_sum(F.col("shipping_cost")).alias("total_shipping_of_order"),
     )
 
 
@@ -62,8 +62,8 @@ def item_features(items: DataFrame, products: DataFrame, outside: str = "extend"
     first_line = F.struct("order_item_id", "product_id", "product_category_name")
     grouped = lines.groupBy("order_id").agg(
         F.count("order_item_id").alias("total_items_in_order"),
-        exact_sum(F.col("price")).alias("total_price_of_order"),
-        exact_sum(F.col("shipping_cost")).alias("total_shipping_of_order"),
+        rounded_sum(F.col("price")).alias("total_price_of_order"),
+        rounded_sum(F.col("shipping_cost")).alias("total_shipping_of_order"),
         F.avg(complete(F.col("product_description_lenght"))).alias("average_product_desc_length"),
         F.avg(complete(F.col("product_name_lenght"))).alias("average_product_name_length"),
         F.sum(complete(F.col("product_weight_g"))).alias("sum_of_all_products_weight"),
@@ -89,7 +89,7 @@ def payment_features(payments: DataFrame) -> DataFrame:
     first_type = F.when(F.col("payment_sequential") == 1, F.col("payment_type"))
 
     def total(condition):
-        return F.coalesce(exact_sum(F.when(condition, F.col("payment_value"))), F.lit(0.0))
+        return F.coalesce(rounded_sum(F.when(condition, F.col("payment_value"))), F.lit(0.0))
 
     return (
         payments.groupBy("order_id")

@@ -1,57 +1,46 @@
-"""Session helpers: stored intermediate tables, scratch folders, checked broadcasts."""
+"""Session helpers: the shared scratch folder and stored intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A table may be broadcast only when it is known to hold at most this many rows.
-BROADCAST_ROWS = 200_000
 
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="marlstone-")
-
-
-def _scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is named."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or spark.sparkContext.getCheckpointDir() or _local_root()
+    Without that setting, a folder below the warehouse; there a local path is
+    refused unless the master is local, because executors on other machines
+    would write to disks of their own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.sparkContext.master
+    is_local = master == "local" or master.startswith("local[")
+    if not is_local and (root.startswith("file:") or "://" not in root):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    root = _scratch_root(spark).rstrip("/")
-    return f"{root}/marlstone-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder; what is there goes when the driver's JVM ends."""
+    path = f"{scratch_root(spark)}/marlstone-{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Store ``df`` as a table in the shared checkpoint folder and read it from there.
+    """Store ``df`` as a table in the shared scratch folder and read it from there.
 
     Used where several jobs must see exactly the same rows (range-partitioned
-    blocks, scored tables), also after an executor is lost. Parquet, so that
-    each reader takes only its columns and Spark knows the size of the table.
+    blocks, tables that models iterate over), also after an executor is lost.
+    Parquet, so that each reader takes only its columns and Spark knows the size
+    of the table.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    # A plain count: a limit would gather rows of every partition in one task.
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the row count is checked, else leave a shuffled join.
-
-    Beyond the bound the join is an ordinary sort-merge join, whose hot keys
-    adaptive execution splits.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -92,11 +92,17 @@ def test_softmax_of_large_scores(spark):
 def test_exact_stddev_of_sums(spark):
     df = spark.createDataFrame([(100000000.01,), (100000000.03,)], "x double")
     x = F.col("x")
-    spread = numbers.stddev_from_sums(F.count(x), F.sum(numbers.cents(x)), F.sum(numbers.square_cents(x)))
+    spread = numbers.stddev_from_sums(F.count(x), F.sum(numbers.exact(x)), F.sum(numbers.exact_square(x)))
     assert df.agg(spread).first()[0] == pytest.approx(0.0141421356, rel=1e-6)
     assert df.limit(1).agg(spread).first()[0] is None
 
 
+def test_sums_keep_all_decimals(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("x"))
+    sums = df.agg(numbers.exact_sum(F.col("x")), numbers.rounded_sum(F.col("x")), numbers.exact_mean(F.col("x")))
+    assert tuple(sums.first()) == (4.0, 4.0, 0.004)
+
+
 def test_cleaning_removes_every_match(spark):
     raw = "  It's 100% \"re-newable\"! WIND " + "x1" * 300
     assert column(spark, text.clean_text(F.lit(raw))) == "its  renewable wind " + "x" * 300

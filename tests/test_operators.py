@@ -192,11 +192,10 @@ def test_parallel_explode(spark):
     assert [(r["s"], r["n"]) for r in padded] == [("a", 1), (None, 2)]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_lexicon_and_lemmas_broadcast_or_not(spark, monkeypatch, limit):
-    import marlstone.session as session
-
-    monkeypatch.setattr(text_ops, "broadcast_if_small", lambda df: session.broadcast_if_small(df, limit))
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_lexicon_and_lemmas_broadcast_or_not(spark, request, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     docs = spark.createDataFrame([(1, "good good bad"), (2, "plain"), (3, "")], "id int, t string")
     lexicon = spark.createDataFrame([("good", 2.0), ("bad", -3.0)], "token string, valence double")
     words = F.split("t", " ")
@@ -241,3 +240,88 @@ def test_rates_without_cases_are_zero(spark):
 def test_auc_counts_ties_half(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1)], "label int, score double")
     assert evaluate.auc(df) == pytest.approx(0.875)
+
+
+def test_deciles_and_tails_place_nulls_and_nan(spark):
+    rows = [(i, None if i % 5 == 0 else float(i % 3)) for i in range(1, 51)] + [(51, float("nan"))]
+    df = spark.createDataFrame(rows, "id long, score double")
+    got = {r["id"]: r["decile"] for r in ranking.score_deciles(df, "score", "id").collect()}
+    want = df.selectExpr("id", "ntile(10) OVER (ORDER BY score DESC, id) AS decile").collect()
+    assert got == {r["id"]: r["decile"] for r in want}
+    for side, order in (("top", "score DESC, id DESC"), ("bottom", "score, id")):
+        tail = {r["id"] for r in ranking.score_tail(df, "score", "id", 0.3, side).collect()}
+        first = df.selectExpr("id", f"row_number() OVER (ORDER BY {order}) AS n").where("n <= 15")
+        assert tail == {r["id"] for r in first.collect()}
+    empty = df.limit(0)
+    assert ranking.score_deciles(empty, "score", "id").count() == 0
+    assert ranking.score_tail(empty, "score", "id").count() == 0
+
+
+def test_text_keys_break_ties_by_bytes(spark, monkeypatch):
+    """Equal scores, keys that share long prefixes, and too few rows kept for a plain sort."""
+    from marlstone.operators import selection
+
+    monkeypatch.setattr(selection, "_FINAL_ROWS", 3)
+    keys = [f"order-{'x' * (i % 4)}{i:03d}é" for i in range(60)] + ["order-", "o", "order-x"]
+    df = spark.createDataFrame([(k, 1.0) for k in keys], "id string, score double")
+    got = {r["id"]: r["decile"] for r in ranking.score_deciles(df, "score", "id").collect()}
+    want = df.selectExpr("id", "ntile(10) OVER (ORDER BY score DESC, id) AS decile").collect()
+    assert got == {r["id"]: r["decile"] for r in want}
+
+
+def test_deciles_read_the_source_at_most_five_times(spark, tmp_path):
+    """Counted by the jobs that scan the stored source."""
+    path = str(tmp_path / "scores")
+    spark.range(40_000).selectExpr("id", "double(id % 9973) AS score").write.parquet(path)
+    source = spark.read.parquet(path)
+    reads = []
+
+    class Watched:
+        """Counts the actions taken on the source itself."""
+
+        def __init__(self, df):
+            self.df = df
+
+        def __getattr__(self, name):
+            if name in ("agg", "select", "where", "withColumn"):
+                reads.append(name)
+            return getattr(self.df, name)
+
+    labelled = ranking.score_deciles(Watched(source), "score", "id")
+    assert labelled.groupBy("decile").count().where("count != 4000").count() == 0
+    assert len(reads) <= 5
+
+
+def test_null_groups_stay(spark):
+    df = spark.createDataFrame([("a", 2), (None, 1), ("a", 1)], "c string, n long")
+    assert [tuple(r) for r in grouping.order_by_total(df, "c", "n").collect()][0] == (None, 1, 1)
+    assert grouping.order_by_total(df, "c", "n").count() == 3
+    weights = {(r["c"], r["weight"]) for r in scaling.balanced_weights(df, "c").collect()}
+    assert weights == {("a", 0.75), (None, 1.5)}
+    codes = {r["c"]: r["i"] for r in scaling.index_labels(df, "c", "i").collect()}
+    assert codes == {"a": 0, None: None}
+
+
+def test_scratch_is_shared_or_refused():
+    from marlstone.session import scratch_root
+
+    class Conf(dict):
+        def get(self, name, default=None):
+            return super().get(name, default)
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    Session.conf = Conf({"spark.sql.warehouse.dir": "file:/home/wh"})
+    with pytest.raises(RuntimeError):
+        scratch_root(Session)
+    Session.conf = Conf({"spark.sql.warehouse.dir": "hdfs://host/wh"})
+    assert scratch_root(Session) == "hdfs://host/wh/_scratch"
+    Session.conf = Conf({"spark.checkpoint.dir": "s3a://bucket/tmp/"})
+    assert scratch_root(Session) == "s3a://bucket/tmp"

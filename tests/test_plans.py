@@ -149,13 +149,6 @@ def test_later_gifts_do_not_change_features(spark):
     assert sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
 
 
-def test_long_selection_meets_the_collapsed_history(spark, monkeypatch):
-    short = donors.rfm_features(*_donor_tables(spark, GIFTS), SPEC).collect()
-    monkeypatch.setattr(donors, "fits_broadcast", lambda df: False)
-    long = donors.rfm_features(*_donor_tables(spark, GIFTS), SPEC).collect()
-    assert sorted(map(str, short)) == sorted(map(str, long))
-
-
 def test_target_bounds_and_threshold(spark):
     tables = _donor_tables(spark, GIFTS)
     target = {r["donorID"]: r["target"] for r in donors.campaign_target(tables[0], tables[1], SPEC).collect()}
