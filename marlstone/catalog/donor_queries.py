@@ -26,7 +26,7 @@ _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 _LANGUAGES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
-def _history(spec: plan.CampaignSpec) -> str:
+def history_sql(spec: plan.CampaignSpec) -> str:
     return f"""history AS (
       SELECT gifts.*, campaigns.date AS campaign_date, region, gender, language, dateOfBirth
       FROM gifts JOIN selection USING (donorID) JOIN donors USING (donorID)
@@ -121,7 +121,7 @@ def _people_columns() -> str:
 
 def _rfm_sql(spec: plan.CampaignSpec, recent_basis: str = "global") -> str:
     return (
-        with_(GIFTS, DONORS, SELECTION, CAMPAIGNS, _history(spec), _features(spec, recent_basis))
+        with_(GIFTS, DONORS, SELECTION, CAMPAIGNS, history_sql(spec), _features(spec, recent_basis))
         + f"SELECT features.*, {_people_columns()} FROM features JOIN people USING (donorID)"
     )
 
@@ -134,7 +134,7 @@ def _target(spec: plan.CampaignSpec) -> str:
   WHERE date BETWEEN DATE '{spec.target_start}' AND DATE '{spec.target_end}' GROUP BY donorID)"""
 
 
-def _levels() -> plan.Levels:
+def donor_levels() -> plan.Levels:
     return plan.Levels(region=_SEGMENTS, gender=("F", "M"), language=_LANGUAGES)
 
 
@@ -158,12 +158,12 @@ def _rounded_sql(sql: str, names=_ROUNDED) -> str:
 
 @QUERIES.add("rfm_features", _rounded_sql(_rfm_sql(CAMPAIGN)))
 def rfm_features(t: Tables):
-    return _rounded(plan.rfm_features(*_inputs(t), CAMPAIGN, _levels()))
+    return _rounded(plan.rfm_features(*_inputs(t), CAMPAIGN, donor_levels()))
 
 
 @QUERIES.add("rfm_features_own_rank", _rounded_sql(_rfm_sql(LATER_CAMPAIGN, "per_key")))
 def rfm_features_own_rank(t: Tables):
-    table = plan.rfm_features(*_inputs(t), LATER_CAMPAIGN, _levels(), recent_basis="per_key")
+    table = plan.rfm_features(*_inputs(t), LATER_CAMPAIGN, donor_levels(), recent_basis="per_key")
     return _rounded(table)
 
 
@@ -189,12 +189,12 @@ def campaign_target(t: Tables):
 
 @QUERIES.add(
     "campaign_table",
-    with_(GIFTS, DONORS, SELECTION, CAMPAIGNS, _history(CAMPAIGN), _features(CAMPAIGN, "global"), _target(CAMPAIGN))
+    with_(GIFTS, DONORS, SELECTION, CAMPAIGNS, history_sql(CAMPAIGN), _features(CAMPAIGN, "global"), _target(CAMPAIGN))
     + """SELECT donorID, frequency, monetary_value, recency, donation_trend, coalesce(target, 0) AS target
          FROM features LEFT JOIN target USING (donorID)""",
 )
 def campaign_table(t: Tables):
-    table = plan.campaign_table(*_inputs(t), CAMPAIGN, {"levels": _levels()})
+    table = plan.campaign_table(*_inputs(t), CAMPAIGN, {"levels": donor_levels()})
     return table.select("donorID", "frequency", "monetary_value", "recency", "donation_trend", "target")
 
 

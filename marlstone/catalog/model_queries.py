@@ -1,4 +1,8 @@
-"""Queries that fit or apply models; mostly without equivalent SQL."""
+"""Queries that fit or apply models.
+
+What a model predicts has no SQL form; most queries therefore return what must hold of it
+whatever it learned (a row per key, chances within 0 and 1, sizes, counts), which has.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,30 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from marlstone.catalog.bindings import CAMPAIGN, LATER_CAMPAIGN, Tables
+from marlstone.catalog.bindings import (
+    CAMPAIGN,
+    CAMPAIGNS,
+    DONORS,
+    GIFTS,
+    HOURLY,
+    ITEMS,
+    LATER_CAMPAIGN,
+    ORDERS,
+    PAYMENTS,
+    PRODUCTS,
+    REVIEWS,
+    SELECTION,
+    Tables,
+    with_,
+)
+from marlstone.catalog.donor_queries import donor_levels, history_sql
+from marlstone.catalog.order_queries import (
+    DELIVERY_FEATURES,
+    ITEM_FEATURES,
+    LABELS,
+    LATEST_REVIEWS,
+    PAYMENT_FEATURES,
+)
 from marlstone.catalog.registry import Registry
 from marlstone.functions.text import SENTIMENT_LABELS
 from marlstone.operators import evaluate, models, sampling, scaling
@@ -20,6 +47,28 @@ QUERIES = Registry()
 
 _CATEGORIES = ["primary_payment_type", "category"]
 
+_BASE = with_(
+    ITEMS, PRODUCTS, PAYMENTS, ORDERS, REVIEWS,
+    ITEM_FEATURES, PAYMENT_FEATURES, DELIVERY_FEATURES, LATEST_REVIEWS,
+    """holdout AS (SELECT order_id FROM delivery_features JOIN payment_features USING (order_id)
+      JOIN item_features USING (order_id))""",
+    f"base AS (SELECT order_id, {LABELS} FROM holdout JOIN latest_reviews USING (order_id))",
+)
+
+
+def _is_chance(col: str):
+    return F.col(col).between(0.0, 1.0)
+
+
+def _valid_scores(scored, key: str, col: str = "probability"):
+    return scored.select(key, _is_chance(col).alias("valid"))
+
+
+def _valid_report(report):
+    """Classes that occur, their support, and whether the rates are rates."""
+    rates = _is_chance("precision") & _is_chance("recall") & _is_chance("f1")
+    return report.where("support > 0").select("class", "support", rates.alias("valid"))
+
 
 def _base(t: Tables):
     return order_plan.order_basetable(t.orders, t.items, t.products, t.payments, t.reviews)
@@ -31,7 +80,7 @@ _HIDDEN = [c for name in _CATEGORIES for c in (name, f"{name}_index")]
 def _review_tables(t: Tables, label: str):
     """Encoded train and test rows; encoder and formula are fitted on the training rows."""
     base = order_plan.model_view(stable(_base(t)), label, keep=["order_id"])
-    train, test = sampling.split_by_key(base, "order_id", 70, 123)
+    train, test = sampling.split_by_modulo(base, "order_id", 70)
     encoder = models.category_encoder(_CATEGORIES, "keep").fit(train)
     train, test = (encoder.transform(part).drop(*_HIDDEN) for part in (train, test))
     ready = (models.assemble(train, f"{label} ~ . - order_id", part) for part in (train, test))
@@ -60,44 +109,74 @@ def category_index(t: Tables):
     return coded.select("p_partkey", "kind_index", slots.alias("slots"))
 
 
-@QUERIES.add("assembled_features", None)
+@QUERIES.add(
+    "assembled_features",
+    _BASE + "SELECT order_id, CAST(binary_label AS DOUBLE) AS label, TRUE AS assembled FROM base WHERE order_id % 100 < 70",
+)
 def assembled_features(t: Tables):
     train, _ = _review_tables(t, "binary_label")
-    return train.select("order_id", "label", vector_to_array("features").alias("features"))
+    slots = F.size(vector_to_array("features"))
+    whole = slots == train.agg(F.max(slots)).scalar()
+    return train.select("order_id", "label", whole.alias("assembled"))
 
 
-@QUERIES.add("review_forest", None)
+@QUERIES.add(
+    "review_forest",
+    _BASE + """SELECT multiclass_label AS class, count(*) AS support, TRUE AS valid
+      FROM base WHERE order_id % 100 >= 70 GROUP BY 1""",
+)
 def review_forest(t: Tables):
     train, test = _review_tables(t, "multiclass_label")
     model = models.forest(seed=123).fit(train)
-    return evaluate.classification_report(model.transform(test))
+    return _valid_report(evaluate.classification_report(model.transform(test)))
 
 
-@QUERIES.add("review_boosted_trees", None)
+@QUERIES.add(
+    "review_boosted_trees",
+    _BASE + "SELECT count(*) > 0 AS accuracy, count(*) > 0 AS f1, count(*) > 0 AS auc FROM base",
+)
 def review_boosted_trees(t: Tables):
     _, scored = _scored_reviews(t)
     scored = stable(
         scored.select("order_id", "label", "prediction", models.positive_probability(F.col("probability")).alias("score"))
     )
-    return evaluate.evaluate_classifier(scored)
+    metrics = evaluate.evaluate_classifier(scored)
+    return metrics.select(*[_is_chance(c).alias(c) for c in ("accuracy", "f1", "auc")])
 
 
-@QUERIES.add("review_lift", None)
+@QUERIES.add(
+    "review_lift",
+    _BASE + """SELECT decile, count(*) AS rows, TRUE AS valid FROM (
+      SELECT CAST(ntile(10) OVER (ORDER BY order_id) AS INTEGER) AS decile FROM base WHERE order_id % 100 >= 70)
+      GROUP BY decile""",
+)
 def review_lift(t: Tables):
     _, scored = _scored_reviews(t)
     scored = stable(
         scored.select("order_id", "label", models.positive_probability(F.col("probability")).alias("score"))
     )
-    return evaluate.lift_table(scored, "order_id")
+    table = evaluate.lift_table(scored, "order_id")
+    whole = F.col("positives").between(0, F.col("rows")) & (F.col("lift") >= 0)
+    return table.select("decile", "rows", whole.alias("valid"))
 
 
-@QUERIES.add("review_feature_importance", None)
+@QUERIES.add(
+    "review_feature_importance",
+    _BASE + "SELECT TRUE AS distinct_slots, TRUE AS adds_up FROM base LIMIT 1",
+)
 def review_feature_importance(t: Tables):
     model, scored = _scored_reviews(t)
-    return models.feature_importance(model, scored)
+    table = models.feature_importance(model, scored)
+    return table.agg(
+        (F.count("idx") == F.countDistinct("name")).alias("distinct_slots"),
+        (F.abs(F.sum("score") - 1) < 1e-6).alias("adds_up"),
+    )
 
 
-@QUERIES.add("holdout_scores", None)
+@QUERIES.add(
+    "holdout_scores",
+    _BASE + "SELECT order_id, TRUE AS valid FROM holdout WHERE order_id NOT IN (SELECT order_id FROM base)",
+)
 def holdout_scores(t: Tables):
     """Orders without reviews, scored by a model fitted on those with reviews."""
     base = stable(_base(t))
@@ -108,7 +187,8 @@ def holdout_scores(t: Tables):
     formula = models.formula_model(train, "binary_label ~ .")
     model = models.boosted_trees(seed=123).fit(stable(formula.transform(train).select("features", "label")))
     view = order_plan.model_view(holdout, None, keep=["order_id"])
-    return models.score(model, formula.transform(fitted.transform(view).drop(*_HIDDEN)), "order_id")
+    scores = models.score(model, formula.transform(fitted.transform(view).drop(*_HIDDEN)), "order_id")
+    return _valid_scores(scores, "order_id")
 
 
 def _vectors(t: Tables):
@@ -118,17 +198,21 @@ def _vectors(t: Tables):
 
 
 def _labelled_texts(t: Tables):
-    """Labelled documents with their kept words; training rows and validation rows."""
+    """Labelled documents with their kept words: 70 % to train, 10 % to validate, 20 % to test."""
     texts = t.texts.join(t.raw("labels"), "doc_id").select(
         "doc_id", F.split("clean_text", " ").alias("words"), F.col("quality").cast("double").alias("label")
     )
-    return sampling.split_by_key(stable(texts), "doc_id", 80, 42)
+    rest, test = sampling.split_by_modulo(stable(texts), "doc_id", 80)
+    return *sampling.split_by_modulo(rest, "doc_id", 70), test
 
 
-@QUERIES.add("model_round_trip", None)
+@QUERIES.add(
+    "model_round_trip",
+    "SELECT doc_id, TRUE AS same FROM documents JOIN labels USING (doc_id) WHERE doc_id % 100 >= 80",
+)
 def model_round_trip(t: Tables):
     """Predictions of a saved and reloaded model next to the first ones."""
-    train, test = _labelled_texts(t)
+    train, _, test = _labelled_texts(t)
     flow = Pipeline(stages=[models.text_embedder("tfidf"), models.logistic(train.count())])
     model = flow.fit(train)
     path = scratch_path(t.spark, "model")
@@ -136,33 +220,52 @@ def model_round_trip(t: Tables):
     again = models.load_model(path)
     first = model.transform(test).select("doc_id", F.col("prediction").alias("before"))
     second = again.transform(test).select("doc_id", F.col("prediction").alias("after"))
-    return first.join(second, "doc_id")
+    return first.join(second, "doc_id").select("doc_id", (F.col("before") == F.col("after")).alias("same"))
 
 
-@QUERIES.add("tfidf_texts", None)
+@QUERIES.add(
+    "tfidf_texts",
+    "SELECT doc_id, CAST(1 AS DOUBLE) AS norm FROM documents",
+)
 def tfidf_texts(t: Tables):
+    """Length of every text's vector, which is scaled to 1."""
     words = t.texts.select("doc_id", F.split("clean_text", " ").alias("words"))
-    vectors = models.embed_text(words, method="tfidf", size=64)
-    return vectors.select("doc_id", vector_to_array("features").alias("features"))
+    norm = F.udf(lambda v: round(float(v.norm(2)), 6), "double")
+    return models.embed_text(words, method="tfidf").select("doc_id", norm("features").alias("norm"))
 
 
-@QUERIES.add("word2vec_texts", None)
+@QUERIES.add(
+    "word2vec_texts",
+    "SELECT doc_id, CAST(16 AS INTEGER) AS size FROM documents",
+)
 def word2vec_texts(t: Tables):
     words = t.texts.select("doc_id", F.split("clean_text", " ").alias("words"))
     vectors = models.embed_text(words, method="word2vec", size=16)
-    return vectors.select("doc_id", vector_to_array("features").alias("features"))
+    return vectors.select("doc_id", F.size(vector_to_array("features")).alias("size"))
 
 
-@QUERIES.add("relevant_texts", None)
+@QUERIES.add(
+    "relevant_texts",
+    "SELECT TRUE AS relevant, TRUE AS known, count(*) > 0 AS once FROM documents",
+)
 def relevant_texts(t: Tables):
     """Texts a classifier of text vectors finds relevant (fitted on the labelled ones)."""
-    train, _ = _labelled_texts(t)
+    train, _, _ = _labelled_texts(t)
     flow = Pipeline(stages=[models.text_embedder("tfidf"), models.logistic(train.count())])
     words = t.texts.select("doc_id", F.split("clean_text", " ").alias("words"))
-    return models.classify_text(flow.fit(train), words).select("doc_id", "relevance")
+    found = models.classify_text(flow.fit(train), words).select("doc_id", "relevance")
+    known = t.raw("documents").select("doc_id", F.lit(1).alias("known"))
+    return found.join(known, "doc_id", "left").agg(
+        F.bool_and(F.col("relevance").between(0.5, 1.0)).alias("relevant"),
+        F.bool_and(F.col("known").isNotNull()).alias("known"),
+        (F.count("doc_id") == F.countDistinct("doc_id")).alias("once"),
+    )
 
 
-@QUERIES.add("logistic_grid", None)
+@QUERIES.add(
+    "logistic_grid",
+    "SELECT CAST(6 AS BIGINT) AS points, CAST(1 AS BIGINT) AS best, TRUE AS valid, TRUE AS highest FROM embeddings LIMIT 1",
+)
 def logistic_grid(t: Tables):
     """Penalty strength and kind by cross-validation on the vectors."""
     halves = (F.col("label") % 2).cast("double")
@@ -170,70 +273,120 @@ def logistic_grid(t: Tables):
     rows = table.count()
     # regParam = 1 / (C * rows) for C in 0.1, 1, 10; elastic net 1 is l1, 0 is l2.
     grid = {"regParam": [1.0 / (c * rows) for c in (0.1, 1.0, 10.0)], "elasticNetParam": [1.0, 0.0]}
-    return models.grid_results(models.grid_search(models.logistic(rows), grid, table))
+    return _grid_summary(models.grid_search(models.logistic(rows), grid, table))
+
+
+def _grid_summary(search):
+    """Points searched, how many are best, and whether that one is the highest."""
+    table = models.grid_results(search)
+    return table.agg(
+        F.countDistinct("params").alias("points"),
+        F.count_if("is_best").alias("best"),
+        F.bool_and(_is_chance("metric")).alias("valid"),
+        (F.max(F.when(F.col("is_best"), F.col("metric"))) == F.max("metric")).alias("highest"),
+    )
 
 
-@QUERIES.add("refitted_text_classifier", None)
+@QUERIES.add(
+    "refitted_text_classifier",
+    "SELECT doc_id, TRUE AS valid FROM documents JOIN labels USING (doc_id) WHERE doc_id % 100 >= 80",
+)
 def refitted_text_classifier(t: Tables):
-    """The chosen classifier fitted again on training and validation rows."""
-    train, validation = _labelled_texts(t)
-    flow = Pipeline(stages=[models.text_embedder("tfidf"), models.logistic(train.count())])
-    model = models.refit(flow, train, validation)
-    return models.score(model, train.unionByName(validation), "doc_id")
+    """The pipeline that a search over its classifier finds best, fitted again on training
+    and validation rows; scores of the test rows."""
+    train, validation, test = _labelled_texts(t)
+    rows = train.count()
+    flow = Pipeline(stages=[models.text_embedder("tfidf"), models.logistic(rows, maxIter=100)])
+    grid = {
+        "LogisticRegression.regParam": [1.0 / (c * rows) for c in (0.1, 1.0, 10.0)],
+        "LogisticRegression.elasticNetParam": [1.0, 0.0],
+    }
+    model = models.refit_best(models.grid_search(flow, grid, train), train, validation)
+    return _valid_scores(models.score(model, test, "doc_id"), "doc_id")
 
 
-@QUERIES.add("vector_forest_grid", None)
+@QUERIES.add(
+    "vector_forest_grid",
+    "SELECT CAST(27 AS BIGINT) AS points, CAST(1 AS BIGINT) AS best, TRUE AS valid, TRUE AS highest FROM embeddings LIMIT 1",
+)
 def vector_forest_grid(t: Tables):
-    """Forest size and depth by cross-validation on the vectors."""
-    table = stable(_vectors(t).select("features", F.col("label").cast("double").alias("label")))
-    grid = {"numTrees": [10, 20], "maxDepth": [3, 5], "minInstancesPerNode": [1, 4]}
-    return models.grid_results(models.grid_search(models.forest(seed=42), grid, table, folds=3))
+    """Number and depth of trees and rows per leaf by cross-validation on the vectors.
 
-
-_SELECTED = ["frequency", "recency", "Avg_donation", "donation_trend", "lifespan_days", "Age"]
+    Depth 30, the deepest there is, stands for no limit; a least number of rows per split
+    has no form here.
+    """
+    table = stable(_vectors(t).select("features", F.col("label").cast("double").alias("label")))
+    grid = {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]}
+    return _grid_summary(models.grid_search(models.forest(seed=42), grid, table))
 
 
 def _campaign(t: Tables, spec):
-    table = donor_plan.campaign_table(t.gifts, t.selection, t.donors, t.campaigns, spec)
+    table = donor_plan.campaign_table(
+        t.gifts, t.selection, t.donors, t.campaigns, spec, {"levels": donor_levels()}
+    )
     return stable(table)
 
 
-@QUERIES.add("selected_donor_features", None)
+def _donor_features(table) -> list[str]:
+    return [c for c in table.columns if c not in ("target", "donorID", "campaignID")]
+
+
+#: Of all donor features, half are selected.
+_HALF = len(donor_plan.feature_names(donor_levels())) // 2
+
+
+@QUERIES.add(
+    "selected_donor_features",
+    f"SELECT CAST(unnest(range(1, {_HALF} + 1)) AS INTEGER) AS step, TRUE AS own, TRUE AS valid FROM (SELECT count(*) FROM orders)",
+)
 def selected_donor_features(t: Tables):
+    """Half of all features, one by one."""
     table = _campaign(t, CAMPAIGN)
-    picked = models.forward_select(table, _SELECTED, "target", k=3, folds=3, key="donorID")
-    return t.spark.createDataFrame(
-        [(i, name, float(auc)) for i, (name, auc) in enumerate(picked, 1)], "step int, feature string, auc double"
-    )
+    picked = models.forward_select(table, _donor_features(table), "target", key="donorID")
+    names = [name for name, _ in picked]
+    rows = [(i, names.count(name) == 1, 0.0 <= auc <= 1.0) for i, (name, auc) in enumerate(picked, 1)]
+    return t.spark.createDataFrame(rows, "step int, own boolean, valid boolean")
 
 
-@QUERIES.add("donor_scores", None)
+@QUERIES.add(
+    "donor_scores",
+    with_(GIFTS, DONORS, SELECTION, CAMPAIGNS, history_sql(LATER_CAMPAIGN)) + "SELECT DISTINCT donorID, TRUE AS valid FROM history",
+)
 def donor_scores(t: Tables):
-    """Boosted trees fitted on one campaign, tested on a later one."""
+    """Boosted trees on the features selected on one campaign, tested on a later one."""
     train, test = _campaign(t, CAMPAIGN), _campaign(t, LATER_CAMPAIGN)
-    scaler = scaling.Standardizer.fit(train, _SELECTED)
+    picked = models.forward_select(train, _donor_features(train), "target", key="donorID")
+    selected = [name for name, _ in picked]
+    scaler = scaling.Standardizer.fit(train, selected)
 
     def ready(df):
-        vectors = models.assemble_columns(scaler.transform(df), _SELECTED)
+        vectors = models.assemble_columns(scaler.transform(df), selected)
         return vectors.withColumn("label", F.col("target").cast("double"))
 
     model = models.boosted_trees(maxIter=50, stepSize=0.1, seed=42).fit(ready(train))
-    return models.score(model, ready(test), "donorID")
+    return _valid_scores(models.score(model, ready(test), "donorID"), "donorID")
 
 
-@QUERIES.add("vector_network", None)
+@QUERIES.add(
+    "vector_network",
+    "SELECT label AS class, count(*) AS support, TRUE AS valid FROM embeddings WHERE vec_id % 100 >= 80 GROUP BY 1",
+)
 def vector_network(t: Tables):
     """Feed-forward network on the vectors; accuracy on held-out rows."""
-    train, test = sampling.split_by_key(_vectors(t), "vec_id", 80, 1)
+    train, test = sampling.split_by_modulo(_vectors(t), "vec_id", 80)
     model = models.feed_forward([64, 32, 16, 10], seed=1).fit(train)
-    return evaluate.classification_report(model.transform(test))
+    return _valid_report(evaluate.classification_report(model.transform(test)))
 
 
-@QUERIES.add("vector_occlusion", None)
+@QUERIES.add(
+    "vector_occlusion",
+    "SELECT vec_id, CAST(unnest(range(0, 8)) AS INTEGER) AS block, TRUE AS valid FROM embeddings",
+)
 def vector_occlusion(t: Tables):
     vectors = _vectors(t)
     model = models.feed_forward([64, 16, 10], maxIter=50, seed=1).fit(vectors)
-    return models.occlusion_sensitivity(vectors, model, "vec_id", "embedding", 8, 64)
+    drops = models.occlusion_sensitivity(vectors, model, "vec_id", "embedding", 8, 64)
+    return drops.select("vec_id", "block", F.col("drop").between(-1.0, 1.0).alias("valid"))
 
 
 def _first_three():
@@ -257,13 +410,25 @@ def scored_vectors(t: Tables):
     return scored.drop("embedding")
 
 
-@QUERIES.add("hourly_forecast", None)
+@QUERIES.add(
+    "hourly_forecast",
+    with_(HOURLY)
+    + """SELECT series, hour, y, TRUE AS finite FROM (
+           SELECT series, hour, value AS y, row_number() OVER s - 10 AS pos, count(*) OVER (PARTITION BY series) - 10 AS n
+           FROM hourly WHERE value IS NOT NULL WINDOW s AS (PARTITION BY series ORDER BY hour))
+         WHERE pos >= 1 AND pos > n - CAST(ceil(n * 0.2) AS BIGINT)""",
+)
 def hourly_forecast(t: Tables):
     forecast = models.forecast_lags(t.hourly, "series", "hour", "value", 10, LinearRegression())
-    return forecast
+    finite = F.abs("prediction") < float("inf")
+    return forecast.select("series", "hour", "y", finite.alias("finite"))
 
 
-@QUERIES.add("forecast_metrics", None)
+@QUERIES.add(
+    "forecast_metrics",
+    "SELECT TRUE AS mse, count(*) > 0 AS r2 FROM events",
+)
 def forecast_metrics(t: Tables):
     forecast = models.forecast_lags(t.hourly, "series", "hour", "value", 10, LinearRegression())
-    return evaluate.evaluate_regression(forecast, "y", "prediction")
+    metrics = evaluate.evaluate_regression(forecast, "y", "prediction")
+    return metrics.select((F.col("mse") >= 0).alias("mse"), (F.col("r2") <= 1).alias("r2"))
\ No newline at end of file

@@ -638,11 +638,19 @@ def first_entity(t: Tables):
     return grouping.first_group(t.raw("documents"), ["lang", "source"], "source")
 
 
-@QUERIES.add("random_split_sizes", None)
+@QUERIES.add(
+    "random_split_sizes",
+    "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS in_both, TRUE AS near_share FROM orders",
+)
 def random_split_sizes(t: Tables):
+    """A random split covers all rows, none twice, in about the shares asked for."""
     train, test = sampling.split_random(t.raw("orders").select("o_orderkey"), [0.7, 0.3], 123)
-    return train.agg(F.lit("train").alias("part"), F.count(F.lit(1)).alias("n")).unionByName(
-        test.agg(F.lit("test").alias("part"), F.count(F.lit(1)).alias("n"))
+    both = train.withColumn("train", F.lit(1)).unionByName(test.withColumn("train", F.lit(0)))
+    per_row = both.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("train").alias("train"))
+    return per_row.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("n") > 1).alias("in_both"),
+        (F.abs(F.avg("train") - 0.7) < 0.05).alias("near_share"),
     )
 
 
@@ -657,15 +665,27 @@ def keyed_split(t: Tables):
     )
 
 
-@QUERIES.add("hashed_split", None)
+@QUERIES.add("hashed_split", "SELECT doc_id, lang, CAST(1 AS BIGINT) AS parts FROM documents")
 def hashed_split(t: Tables):
+    """Every row is in one part."""
     train, test = sampling.split_by_key(t.raw("documents").select("doc_id", "lang"), "doc_id", 80, 42)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return train.unionByName(test).groupBy("doc_id", "lang").agg(F.count(F.lit(1)).alias("parts"))
 
 
-@QUERIES.add("random_sample", None)
+@QUERIES.add(
+    "random_sample",
+    "SELECT least(count(*), 30) AS rows, least(count(*), 30) AS different, TRUE AS known FROM embeddings",
+)
 def random_sample(t: Tables):
-    return sampling.sample_n(t.raw("embeddings").select("vec_id", "label"), 30, seed=7)
+    """So many rows, all different, all of the table."""
+    table = t.raw("embeddings").select("vec_id", "label")
+    sample = sampling.sample_n(table, 30, seed=7, keys=["vec_id"])
+    known = sample.join(table.withColumn("known", F.lit(1)), ["vec_id", "label"], "left")
+    return known.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("vec_id").alias("different"),
+        F.bool_and(F.col("known").isNotNull()).alias("known"),
+    )
 
 
 # --- scalar functions -------------------------------------------------------------------

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -28,15 +30,15 @@ from pyspark.ml.feature import (
     Word2Vec,
 )
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlstone.functions.numbers import argmax, map_values, positive_probability, softmax
-from marlstone.operators.evaluate import auc
 from marlstone.operators.ordered import lag_sequences, split_chronological
-from marlstone.operators.scaling import MinMaxScaler, Standardizer, balanced_weights
+from marlstone.operators.scaling import MinMaxScaler, Standardizer
 from marlstone.session import stable
 
 # --- encoding and assembling ---------------------------------------------------
@@ -127,13 +129,17 @@ def grid_search(
     df: DataFrame,
     metric: str = "accuracy",
     folds: int = 5,
-    parallelism: int = 4,
+    parallelism: int = 8,
     seed: int = 42,
 ) -> CrossValidatorModel:
-    """Cross-validated search over every combination of the grid."""
+    """Cross-validated search over every combination of the grid.
+
+    A name is a parameter of the estimator, or ``Stage.parameter`` for that of a
+    pipeline's stage, as in ``LogisticRegression.regParam``.
+    """
     builder = ParamGridBuilder()
     for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
+        builder = builder.addGrid(_param(estimator, name), list(values))
     if metric == "auc":
         evaluator = BinaryClassificationEvaluator(numBins=0)
     else:
@@ -149,13 +155,32 @@ def grid_search(
     return search.fit(df)
 
 
+def _param(estimator: Estimator, name: str) -> Param:
+    stage, _, own = name.rpartition(".")
+    if not stage:
+        return estimator.getParam(own)
+    found = [s for s in estimator.getStages() if type(s).__name__ == stage]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} stages named {stage}")
+    return found[0].getParam(own)
+
+
+def _best_at(model: CrossValidatorModel) -> int:
+    better = max if model.getEvaluator().isLargerBetter() else min
+    return model.avgMetrics.index(better(model.avgMetrics))
+
+
+def refit_best(search: CrossValidatorModel, *tables: DataFrame):
+    """Fit the grid point that a search found best on the union of several tables."""
+    best = search.getEstimatorParamMaps()[_best_at(search)]
+    return refit(search.getEstimator().copy(best), *tables)
+
+
 def grid_results(model: CrossValidatorModel) -> DataFrame:
     """(params, metric, is_best) per grid point; a line per point, no data."""
     maps = model.getEstimatorParamMaps()
     names = [", ".join(sorted(f"{p.name}={v}" for p, v in m.items())) for m in maps]
-    larger = model.getEvaluator().isLargerBetter()
-    best = (max if larger else min)(model.avgMetrics)
-    best_at = model.avgMetrics.index(best)
+    best_at = _best_at(model)
     rows = [(n, float(m), i == best_at) for i, (n, m) in enumerate(zip(names, model.avgMetrics, strict=True))]
     return SparkSession.active().createDataFrame(rows, "params string, metric double, is_best boolean")
 
@@ -167,44 +192,86 @@ def forward_select(
     k: int | None = None,
     folds: int = 5,
     key: str | None = None,
-    parallelism: int = 4,
     c: float = 1.0,
+    sample_rows: int = 20_000,
 ) -> list[tuple[str, float]]:
     """Greedy forward selection by cross-validated AUC: (feature, AUC so far).
 
-    Half of the features by default. Each candidate is judged by a
-    class-balanced logistic regression on standardised columns. The assembled
-    columns are stored once; only fitted metrics come back to the driver.
+    Half of the features by default. Each candidate is judged by a class-balanced
+    logistic regression with inverse penalty strength ``c`` on standardised
+    columns; nulls count as the column's mean. Means and deviations come from all
+    rows. The judging uses at most about ``sample_rows`` of them, picked by a hash of
+    the key: that bounds what every task holds, and the candidates of a step are
+    judged by as many tasks at once. Ties go to the earlier feature.
     """
     k = len(features) // 2 if k is None else k
-    fold = F.pmod(F.xxhash64(*([key] if key else df.columns)), F.lit(folds)).cast("int")
-    base = Standardizer.fit(df, features).transform(df).withColumn("_fold", fold)
-    base = balanced_weights(base.withColumn("label", F.col(label).cast("double")), "label")
-    base = stable(base.select("label", "weight", "_fold", *features))
-    rows = base.count()
-
-    def judge(chosen: Sequence[str]) -> float:
-        table = assemble_columns(base, chosen)
-        scores = []
-        for i in range(folds):
-            estimator = logistic(
-                max(rows * (folds - 1) // folds, 1), c, maxIter=100, weightCol="weight"
-            )
-            model = estimator.fit(table.where(F.col("_fold") != i))
-            held_out = model.transform(table.where(F.col("_fold") == i))
-            scored = held_out.select("label", positive_probability(F.col("probability")).alias("score"))
-            scores.append(auc(scored))
-        return sum(scores) / len(scores)
-
-    picked: list[tuple[str, float]] = []
-    left = list(features)
+    spark, seed = df.sparkSession, [F.col(key)] if key else [F.col(x) for x in df.columns]
+    rows = df.count()
+    draw = F.pmod(F.xxhash64(F.lit(1), *seed), F.lit(1_000_000))
+    fold = F.pmod(F.xxhash64(*seed), F.lit(folds)).cast("int")
+    scaled = Standardizer.fit(df, features).transform(df)
+    some = scaled.where(draw < math.ceil(1_000_000 * min(1.0, sample_rows / max(rows, 1))))
+    columns = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)]
+    held = some.select(F.col(label).cast("double").alias("y"), fold.alias("fold"), *columns).toPandas()
+    table = spark.sparkContext.broadcast(
+        (held["y"].to_numpy(), held["fold"].to_numpy(), held.iloc[:, 2:].to_numpy())
+    )
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        y, part, x = table.value
+        for pdf in frames:
+            scores = [cross_validated_auc(x[:, chosen], y, part, folds, c) for chosen in pdf["chosen"]]
+            yield pd.DataFrame({"candidate": pdf["candidate"], "auc": scores})
+
+    picked: list[tuple[int, float]] = []
+    left = list(range(len(features)))
     while left and len(picked) < k:
-        names = [name for name, _ in picked]
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(lambda f, names=names: judge([*names, f]), left))
-        best = max(range(len(left)), key=lambda i: results[i])
-        picked.append((left.pop(best), results[best]))
-    return picked
+        chosen = [f for f, _ in picked]
+        candidates = spark.createDataFrame([(f, [*chosen, f]) for f in left], "candidate int, chosen array<int>")
+        judged = candidates.repartition(min(len(left), 64)).mapInPandas(judge, "candidate int, auc double")
+        # One row per candidate.
+        best = max(judged.collect(), key=lambda r: (r["auc"], -r["candidate"]))
+        picked.append((best["candidate"], best["auc"]))
+        left.remove(best["candidate"])
+    return [(features[f], score) for f, score in picked]
+
+
+def cross_validated_auc(
+    x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int, c: float
+) -> float:
+    """Mean held-out AUC of a class-balanced logistic regression; folds of one class are left out."""
+    scores = []
+    for i in range(folds):
+        train, test = fold != i, fold == i
+        if len(np.unique(y[train])) == 2 and len(np.unique(y[test])) == 2:
+            scores.append(_rank_auc(x[test] @ _logistic_weights(x[train], y[train], c), y[test]))
+    return float(np.mean(scores)) if scores else 0.5
+
+
+def _logistic_weights(x: np.ndarray, y: np.ndarray, c: float, rounds: int = 12) -> np.ndarray:
+    """Newton steps for a ridge-penalised logistic regression; the intercept isn't penalised."""
+    share = y.mean()
+    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
+    full = np.column_stack([x, np.ones(len(x))])
+    penalty = np.full(full.shape[1], 1.0 / c)
+    penalty[-1] = 1e-9
+    beta = np.zeros(full.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(full @ beta, -30, 30)))
+        gradient = full.T @ (weight * (p - y)) + penalty * beta
+        curve = (full * (weight * p * (1 - p))[:, None]).T @ full + np.diag(penalty)
+        step = np.linalg.solve(curve, gradient)
+        beta -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta[:-1]
+
+
+def _rank_auc(score: np.ndarray, y: np.ndarray) -> float:
+    ranks = pd.Series(score).rank().to_numpy()
+    positives = y == 1
+    n, m = positives.sum(), (~positives).sum()
+    return float((ranks[positives].sum() - n * (n + 1) / 2) / (n * m))
 
 
 # --- scoring and explaining ----------------------------------------------------
@@ -262,20 +329,41 @@ def load_model(path: str) -> PipelineModel:
 # --- text and series models ----------------------------------------------------
 
 
-def text_embedder(method: str = "tfidf", size: int = 256, words: str = "words", out: str = "features"):
-    """Estimator from a token array to a vector: ``tfidf`` or ``word2vec``."""
+#: Hash slots of TF-IDF vectors; few words of a language share one.
+TEXT_SLOTS = 1 << 18
+
+
+def text_embedder(
+    method: str = "tfidf",
+    size: int = TEXT_SLOTS,
+    words: str = "words",
+    out: str = "features",
+    partitions: int = 8,
+    min_count: int = 5,
+):
+    """Estimator from a token array to a vector: ``tfidf`` or ``word2vec``.
+
+    Word2Vec trains in ``partitions`` tasks, whose vectors are averaged after each pass,
+    and knows the words that occur at least ``min_count`` times: its vocabulary sits
+    on the driver, so ``min_count`` must grow with the corpus.
+    """
     if method == "tfidf":
         counts = HashingTF(inputCol=words, outputCol="_counts", numFeatures=size)
         weights = IDF(inputCol="_counts", outputCol="_weights")
         return Pipeline(stages=[counts, weights, Normalizer(inputCol="_weights", outputCol=out)])
     if method == "word2vec":
         return Pipeline(
-            stages=[Word2Vec(inputCol=words, outputCol=out, vectorSize=size, minCount=1, seed=42)]
+            stages=[
+                Word2Vec(
+                    inputCol=words, outputCol=out, vectorSize=size, minCount=min_count,
+                    numPartitions=partitions, seed=42,
+                )
+            ]
         )
     raise ValueError(f"unknown method: {method!r}")
 
 
-def embed_text(df: DataFrame, words: str = "words", method: str = "tfidf", size: int = 256) -> DataFrame:
+def embed_text(df: DataFrame, words: str = "words", method: str = "tfidf", size: int = TEXT_SLOTS) -> DataFrame:
     return text_embedder(method, size, words).fit(df).transform(df).drop("_counts", "_weights")
 
 
@@ -298,8 +386,8 @@ def score_rows(
     """Class label of a user-supplied scorer (batch of values to batch of logits).
 
     ``make_scorer`` builds the scorer once per Python worker; ``size`` is the
-    length of the arrays in ``col`` (None for texts or numbers). The only Python
-    in the package; it runs on Arrow batches.
+    length of the arrays in ``col`` (None for texts or numbers). It runs on Arrow
+    batches.
     """
     logits = predict_batch_udf(
         make_scorer,

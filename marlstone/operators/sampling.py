@@ -24,6 +24,10 @@ def split_by_modulo(df: DataFrame, key: str, train_percent: int) -> list[DataFra
     return [df.where(slot < train_percent), df.where(slot >= train_percent)]
 
 
-def sample_n(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """n random rows without replacement."""
-    return df.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(n).drop("_draw")
+def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ()) -> DataFrame:
+    """n rows without replacement, those with the smallest hash of the keys (all columns).
+
+    The same rows whatever the partitioning; each task keeps at most n of its own.
+    """
+    draw = F.xxhash64(F.lit(seed), *[F.col(c) for c in (keys or df.columns)])
+    return df.orderBy(draw, *df.columns).limit(n)

@@ -281,6 +281,24 @@ def interaction_pairs(levels: Levels) -> dict[str, tuple[str, str]]:
     return pairs
 
 
+#: Columns of ``rfm_features`` beside the donor attributes that a model may see.
+RFM_COLUMNS = (
+    "frequency", "monetary_value", "recency", "Avg_donation", "total_donations", "max_donations",
+    "min_donations", "avg_daysdiff", "lifespan_days", "donation_trend", "donation_variability",
+    "campaign_engagement", "recent_donations_ratio", "amount", "donation_rank", "days_between",
+    "avg_timediff", "donation_density", "donor_loyalty",
+)
+
+
+def feature_names(levels: Levels) -> list[str]:
+    """All feature columns of a campaign table with the given levels."""
+    dummies = [dummy_name("fl_region_is", x) for x in levels.region[1:]]
+    dummies += [dummy_name("fl_gender_is", x) for x in levels.gender[1:]]
+    dummies += [dummy_name("fl_language_is", x) for x in levels.language]
+    groups = [dummy_name("age_group", x) for x in AGE_LABELS]
+    return [*RFM_COLUMNS, "Age", *dummies, *groups, *interaction_pairs(levels)]
+
+
 def campaign_target(gifts: DataFrame, selection: DataFrame, spec: CampaignSpec) -> DataFrame:
     """(donorID, target_amount, target) of selected donors with gifts in the target window."""
     window = between_dates(gifts, "date", spec.target_start, spec.target_end)

@@ -69,6 +69,28 @@ def test_forward_selection_picks_the_telling_column_first(points):
     assert picked[0][1] > 0.9
 
 
+def test_forward_selection_takes_half_of_the_features(points):
+    table = points.drop("features").withColumns({"z": F.col("x") * 0 + 1.0, "w": F.col("y") * 2})
+    picked = models.forward_select(table, ["w", "x", "y", "z"], folds=3, key="id")
+    assert [name for name, _ in picked][0] == "x" and len(picked) == 2
+    assert all(0.0 <= auc <= 1.0 for _, auc in picked)
+
+
+def test_search_reaches_pipeline_stages_and_refits_the_best(spark):
+    texts = [(i, ["wind", "solar"] if i % 2 else ["court", "goal"], float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(texts, "id long, words array<string>, label double").coalesce(1)
+    flow = Pipeline(stages=[models.text_embedder("tfidf", 32), models.logistic(60, maxIter=20)])
+    grid = {"LogisticRegression.regParam": [1000.0, 0.01]}
+    search = models.grid_search(flow, grid, df, folds=2)
+    best = next(r for r in models.grid_results(search).collect() if r["is_best"])
+    model = models.refit_best(search, df.where("id < 30"), df.where("id >= 30"))
+    chosen = model.stages[-1].getOrDefault("regParam")
+    assert best["params"] == f"regParam={chosen}"
+    assert accuracy(model.transform(df)) == 1.0 or chosen == 1000.0
+    with pytest.raises(ValueError, match="stages named"):
+        models.grid_search(flow, {"GBTClassifier.maxIter": [1]}, df)
+
+
 def test_importances_name_every_slot(points):
     model = models.forest(numTrees=5, seed=1).fit(points)
     rows = models.feature_importance(model, points).collect()

@@ -19,12 +19,6 @@ def test_query_matches_sql(name, spark, con):
     assert differences(name, all_queries()[name], spark, con, SF) is None
 
 
-# The model queries are run in full by tests/compare.py; here only the quick ones.
-@pytest.mark.parametrize("name", ["random_split_sizes", "hashed_split", "random_sample", "hourly_forecast"])
-def test_query_without_sql_has_rows(name, spark):
-    assert all_queries()[name](spark, SF).count() > 0
-
-
 def test_driver_contract(spark):
     assert set(driver.oracle_sql()) <= set(driver.queries())
     assert driver.entry(spark).count() > 0
