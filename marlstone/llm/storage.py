@@ -1,43 +1,16 @@
-"""Shared intermediate tables, and row positions that never gather a group in one task."""
+"""Row positions that never gather a group in one task, and small Arrow batches."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marlstone.session import stable as store
 
-def shared_root(spark: SparkSession) -> str:
-    """The shared folder that the session names in ``spark.checkpoint.dir``.
-
-    Without that setting a local master uses a folder below its warehouse; any
-    other master is refused, because executors would not see the files.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-
-
-def store(df: DataFrame) -> DataFrame:
-    """``df`` written once as parquet in the shared folder and read from there.
-
-    Cuts the lineage: later jobs survive lost executors without repeating the
-    work before. The files go when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["arrow_rows", "store", "with_position"]
 
 
 @contextmanager

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.components import LocalForest, connected_components
 from marlstone.llm.knn import top_k_inner_product
-from marlstone.llm.storage import shared_root, with_position
+from marlstone.llm.storage import with_position
 from marlstone.llm.vector_dedup import near_duplicate_vectors, passes_needed
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -85,7 +85,7 @@ def test_near_duplicate_edges(spark):
     assert all((by[i]["n_links"], by[i]["component_id"], by[i]["kept"]) == (0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 11))
     assert by[1]["component_id"] == by[2]["component_id"] == by[10]["component_id"] == by[12]["component_id"] == 1
     # Three rows of [1, 0] with an id, one near them, one far shorter but parallel.
-    assert by[1]["n_links"] == by[10]["n_links"] + 0 - 0 == 4 or by[1]["n_links"] == 4
+    assert {by[i]["n_links"] for i in (1, 2, 10, 12)} == {4}
     assert by[None]["component_id"] is None and by[None]["kept"]
     assert near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
@@ -162,22 +162,3 @@ def test_positions_are_gapless_in_a_hot_group(many_blocks):
     everyone = with_position(rows, [], ["v"], "at").collect()
     assert sorted(r["at"] for r in everyone) == list(range(5000))
 
-
-def test_scratch_needs_a_shared_folder():
-    class Conf:
-        def get(self, name, default=None):
-            return "/wh" if "warehouse" in name else default
-
-    class Context:
-        master = "spark://host:7077"
-
-        def getCheckpointDir(self):
-            return None
-
-    class Session:
-        conf, sparkContext = Conf(), Context()
-
-    with pytest.raises(RuntimeError):
-        shared_root(Session())
-    Session.sparkContext.master = "local[4]"
-    assert shared_root(Session()) == "/wh/_scratch"
