@@ -108,7 +108,7 @@ def compare_tiles(
     return prints[nodes], prints[roots]
 
 
-def link_fingerprints(prints: DataFrame, radius: int = 3, tile: int = 16_384) -> DataFrame:
+def link_fingerprints(prints: DataFrame, radius: int = 3, tile: int = 8192) -> DataFrame:
     """Links (src, dst) that join all fingerprints of ``prints`` within ``radius`` bits.
 
     ``prints`` has one long column ``print`` without repeats or nulls. Tiles hold
@@ -146,15 +146,19 @@ def link_fingerprints(prints: DataFrame, radius: int = 3, tile: int = 16_384) ->
     first = tiles.select(
         F.col("ones").alias("ones_a"), F.col("part").alias("part_a"), F.col("prints").alias("a"),
         near.alias("to"),
-    ).where((F.col("ones_a") < F.col("to.ones")) | (F.col("part_a") <= F.col("to.part")))
+    )
+    first = first.where(
+        (F.col("ones_a") < F.col("to.ones")) | (F.col("part_a") <= F.col("to.part"))
+    )
     second = tiles.select(
         F.col("ones").alias("ones_b"), F.col("part").alias("part_b"), F.col("prints").alias("b")
     )
+    # A partition per tile: small in bytes, but long to compare, so they aren't put together.
+    n = sum(math.ceil(own / tile) for own in sizes.values())
+    first = first.select("*", "to.*").withColumnsRenamed({"ones": "ones_b", "part": "part_b"})
     paired = (
-        first.join(
-            second,
-            (F.col("to.ones") == F.col("ones_b")) & (F.col("to.part") == F.col("part_b")),
-        )
+        first.repartition(n, "ones_b", "part_b")
+        .join(second.repartition(n, "ones_b", "part_b"), ["ones_b", "part_b"])
         .withColumn(
             "same", (F.col("ones_a") == F.col("ones_b")) & (F.col("part_a") == F.col("part_b"))
         )
