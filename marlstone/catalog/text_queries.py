@@ -235,6 +235,49 @@ def default_entity(t: Tables):
     return grouping.first_group(_aspect_rows(t), ["aspect", "sentiment", "entity"], "entity")
 
 
+def _by_length(classes: int):
+    """A stand-in scorer of texts: the class is the length modulo ``classes``."""
+
+    def make():
+        import numpy as np
+
+        def scorer(batch):
+            at = np.array([len(text) % classes for text in batch])
+            return (at[:, None] == np.arange(classes)).astype("float64")
+
+        return scorer
+
+    return make
+
+
+@QUERIES.add(
+    "classified_aspects",
+    with_(
+        TEXTS.replace("FROM documents", "FROM documents WHERE length(text) % 5 <> 0"),
+        LEXICON,
+        LEMMAS,
+        _SENTIMENT,
+        """lemma_texts AS (
+          SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY pos) AS lemma_text FROM (
+            SELECT doc_id, unnest(string_split(clean_text, ' ')) AS token,
+                   generate_subscripts(string_split(clean_text, ' '), 1) AS pos FROM texts)
+          LEFT JOIN lemmas USING (token) GROUP BY doc_id)""",
+    )
+    + f"""SELECT doc_id, s.entity, unnest({aspects_sql('lemma_text', CORPUS_ASPECTS)}) AS aspect,
+            CASE length(text) % 2 WHEN 1 THEN 'yes' ELSE 'no' END AS specific,
+            CASE length(text) % 3 WHEN 0 THEN 'risk' WHEN 1 THEN 'neutral' ELSE 'opportunity' END
+              AS sentiment_label, compound, sentiment
+          FROM sentiment s JOIN lemma_texts USING (doc_id) JOIN texts USING (doc_id)""",
+)
+def classified_aspects(t: Tables):
+    """Relevance, scorers, lemmas, aspects and polarity, with rules in place of models."""
+    texts = t.raw("documents").select("doc_id", F.col("source").alias("entity"), "text")
+    return plan.classified_aspects(
+        texts, "doc_id", lambda df: df.where(F.length("text") % 5 != 0),
+        _by_length(2), _by_length(3), t.lexicon, t.lemmas, CORPUS_ASPECTS,
+    )
+
+
 @QUERIES.add(
     "dashboard_report",
     with_(TEXTS, LEXICON, _SENTIMENT, _ASPECT_ROWS)

@@ -70,18 +70,23 @@ def lexicon_sentiment(
 
 
 def lemmatize(
-    df: DataFrame, key: str, words: Column, lemmas: DataFrame, out: str = "lemma_text"
+    df: DataFrame,
+    key: str,
+    words: Column,
+    lemmas: DataFrame,
+    out: str = "lemma_text",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, out): every word replaced by its lemma where ``lemmas`` (token, lemma) has one.
+    """(key, keep..., out): every word replaced by its lemma where ``lemmas`` (token, lemma) has one.
 
-    Words come back in their old order. One group is one text.
+    Words come back in their old order. One group is one text; ``key`` is unique per text.
     """
     lookup = lemmas.select("token", "lemma")
-    placed = df.select(key, F.posexplode_outer(words).alias("_pos", "token"))
+    placed = df.select(key, *keep, F.posexplode_outer(words).alias("_pos", "token"))
     mapped = placed.join(lookup, "token", "left")
     item = F.struct("_pos", F.coalesce("lemma", "token").alias("word"))
-    texts = mapped.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_items"))
-    return texts.select(key, F.concat_ws(" ", F.transform("_items", lambda x: x["word"])).alias(out))
+    texts = mapped.groupBy(key, *keep).agg(F.sort_array(F.collect_list(item)).alias("_items"))
+    return texts.select(key, *keep, F.concat_ws(" ", F.transform("_items", lambda x: x["word"])).alias(out))
 
 
 def top_terms(df: DataFrame, group: str, words: Column, n: int = 200) -> DataFrame:

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.text import CLIMATE_ASPECTS, normalize, tag_aspects
+from marlstone.functions.text import CLIMATE_ASPECTS, SENTIMENT_LABELS, normalize, tag_aspects
+from marlstone.operators.models import score_rows
 from marlstone.operators.text_ops import (
     aspect_sentiment_by_entity,
     aspect_sentiment_counts,
     explode_aspects,
     explode_parallel,
+    lemmatize,
     lexicon_sentiment,
 )
 
+#: Answers of a specificity scorer, by class.
+SPECIFIC = {0: "no", 1: "yes"}
+
 
 def labelled_texts(news: DataFrame, wanted: str) -> DataFrame:
     """(entity, text) of the articles with the wanted label, a row per article.
@@ -49,6 +54,38 @@ def aspect_sentiment(
     return explode_aspects(scored, "aspects")
 
 
+def classified_aspects(
+    texts: DataFrame,
+    key: str,
+    relevant: Callable[[DataFrame], DataFrame],
+    specificity: Callable,
+    stance: Callable,
+    lexicon: DataFrame,
+    lemmas: DataFrame,
+    aspects: Mapping[str, Sequence[str]] = CLIMATE_ASPECTS,
+    stances: Mapping[int, str] = SENTIMENT_LABELS,
+) -> DataFrame:
+    """(key, entity, specific, sentiment_label, aspect, compound, sentiment): the whole flow.
+
+    Texts are cleaned; ``relevant`` keeps those about the subject, given ``words`` and
+    ``clean_text`` (such as ``models.classify_text`` with a fitted model). Two
+    user-supplied scorers (see ``models.score_rows``) read the text that is left: one says
+    whether it is ``specific``, one gives its ``sentiment_label``. Aspects are tagged in the
+    lemmas, polarity comes from the lexicon, and every aspect of a text is a row.
+    """
+    clean = texts.withColumn("clean_text", normalize(F.col("text")))
+    kept = relevant(clean.withColumn("words", F.split("clean_text", " ")))
+    kept = kept.select(key, "entity", "text", "clean_text")
+    scored = score_rows(kept, "text", specificity, SPECIFIC, "specific")
+    scored = score_rows(scored, "text", stance, stances, "sentiment_label")
+    marks = ["entity", "specific", "sentiment_label"]
+    words = F.split("clean_text", " ")
+    lemma = lemmatize(scored, key, words, lemmas, keep=[*marks, "clean_text"])
+    tagged = lemma.withColumn("aspects", tag_aspects(F.col("lemma_text"), aspects))
+    rated = lexicon_sentiment(tagged, key, words, lexicon, keep=[*marks, "aspects"])
+    return explode_aspects(rated, "aspects")
+
+
 def dashboard_tables(aspects: DataFrame) -> dict[str, DataFrame]:
     """The tables behind the two dashboard charts."""
     return {
