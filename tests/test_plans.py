@@ -216,3 +216,32 @@ def test_texts_are_cleaned_once(name, spark):
 def test_word_scores_are_hash_aggregated(spark):
     plan = plan_of(all_queries()["aspect_sentiment_counts"](spark, SF))
     assert "SortAggregate" not in plan
+
+
+def test_news_flow_from_texts_to_counts(spark):
+    """Relevance, both scorers, lemmas before aspects, a row per aspect."""
+    import numpy as np
+
+    from marlstone.operators.text_ops import aspect_sentiment_counts
+    from marlstone.plans import news
+
+    def by_word(word):
+        return lambda: lambda texts: np.array([[float(word not in t), float(word in t)] for t in texts])
+
+    texts = spark.createDataFrame(
+        [(1, "a", "Good winds, 12 solars"), (2, "a", "bad court"), (3, "b", "spam winds"), (4, "b", "bad winds")],
+        "id int, entity string, text string",
+    )
+    lexicon = spark.createDataFrame([("good", 3.0), ("bad", -3.0)], "token string, valence double")
+    lemmas = spark.createDataFrame([("winds", "wind"), ("solars", "solar")], "token string, lemma string")
+    flow = news.classified_aspects(
+        texts, "id", lambda df: df.where(~F.array_contains("words", "spam")), by_word("12"), by_word("court"),
+        lexicon, lemmas, {"air": ["wind "], "energy": ["solar", "wind"]}, {0: "risk", 1: "chance"},
+    )
+    rows = {(r["id"], r["specific"], r["sentiment_label"], r["aspect"], r["sentiment"]) for r in flow.collect()}
+    assert rows == {
+        (1, "yes", "risk", "air", "positive"),
+        (1, "yes", "risk", "energy", "positive"),
+        (4, "no", "risk", "energy", "negative"),
+    }
+    assert aspect_sentiment_counts(flow).count() == 3
