@@ -21,6 +21,24 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@cache
+def drops_white_space(path: str) -> bool:
+    """Whether a tokenizer's texts may be cut at ASCII white space without changing their tokens.
+
+    Tried on words of letters, digits and marks with each white space character, and
+    runs of two, before, between and behind them.
+    """
+
+    def ids(text: str) -> list[int]:
+        return _tokenizer(path).encode(text, add_special_tokens=False).ids
+
+    words = ("word", "7", "'s", "--", "\u00e9")
+    runs = [a + b for a in " \t\n\x0b\x0c\r" for b in ("", " ", "\n")]
+    return all(
+        ids(f"{run}{a}{run}{b}{run}") == ids(a) + ids(b) for run in runs for a in words for b in words
+    )
+
+
 class _Counter:
     """Lengths of texts, with the lengths of frequent short pieces kept between batches."""
 
@@ -28,6 +46,7 @@ class _Counter:
         self.tokenizer = _tokenizer(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.cut = drops_white_space(path)
         self.batch_bytes = batch_bytes
         self.known: dict[bytes, int] = {}
 
@@ -49,7 +68,7 @@ class _Counter:
         return lengths
 
     def count(self, texts: list[bytes]) -> list[int]:
-        split = [t.split() for t in texts]
+        split = [t.split() if self.cut else [t] for t in texts]
         wanted = set().union(*split) if split else set()
         fresh = self._encode(sorted(wanted - self.known.keys(), key=len))
         lengths = {p: self.known[p] for p in wanted & self.known.keys()} | fresh
@@ -79,7 +98,8 @@ def count_tokens(
     words: no normal form, word pattern or special string reaches over it, so the
     lengths of the pieces add up to the length of the whole text, and each
     distinct piece of a batch is encoded once. A text without white space stays
-    whole, however long.
+    whole, however long, and so does every text for a tokenizer that isn't seen to
+    drop white space (``drops_white_space``).
 
     Null and empty texts have 0 bytes and 0 tokens. Ids may repeat or be null;
     an empty table gives an empty table; other columns are not read.

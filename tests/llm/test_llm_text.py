@@ -16,7 +16,7 @@ from marlstone.llm.packing import pack_documents
 from marlstone.llm.queries import QUERIES, SQL, language_model, quality_model
 from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups, without_near_copies
-from marlstone.llm.token_counts import count_tokens
+from marlstone.llm.token_counts import count_tokens, drops_white_space
 
 SF = "/root/testdata/sf0.001"
 LONG = "the rand of lyen thes erat " * 60_000
@@ -250,11 +250,13 @@ def test_subwords_share_of_repeats():
 # --- tokens ----------------------------------------------------------------------
 
 
-def test_token_counts_equal_the_library(spark, docs, given):
+@pytest.mark.parametrize(("name", "cut"), [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_token_counts_equal_the_library(spark, docs, given, name, cut):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path("word_bpe_49k.json")
+    path = public_tokenizers.path(name)
+    assert drops_white_space(path) == cut
     library = Tokenizer.from_file(path)
     texts = [r["text"] for r in given.select("text").limit(60).collect()] + [d[1] for d in DOCS]
     texts += ["a\x0bb\x0cc\x85d e", " '", "don't  'RE we'll", "x" * 5000, "\t\n", "İİ ́a"]
