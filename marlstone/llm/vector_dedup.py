@@ -135,7 +135,6 @@ def near_duplicate_vectors(
     vector_col: str = "embedding",
     threshold: float = 0.9,
     window: int = 256,
-    design_cosine: float = 0.95,
     recall: float = 0.99,
     block: int = 4096,
     tile: int = 4096,
@@ -147,7 +146,7 @@ def near_duplicate_vectors(
     are found by sorted projection passes (``projection_links``): vectors are
     ordered by concatenated random sign hashes, compared within a bounded window,
     and verified pairs are united over the passes. The number of passes follows
-    from the number of vectors so that a pair at ``design_cosine`` is met with
+    from the number of vectors so that even a pair at ``threshold`` is met with
     chance ``recall`` (``passes_needed``). Groups larger than a window need no
     luck: equal vectors are one representative with a weight, and after the
     passes an exact check counts the links within each component, tile by tile, so
@@ -169,7 +168,7 @@ def near_duplicate_vectors(
         stored.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
     )
     n = classes.count()
-    passes = passes_needed(n, window, design_cosine, recall)
+    passes = passes_needed(n, window, threshold, recall)
     links = projection_links(
         classes.select("id", "vector"), threshold, window, passes, block, seed
     )

@@ -52,6 +52,19 @@ def test_near_duplicates_equal_brute_force(spark, clustered):
     assert [r["kept"] for r in rows] == (component == np.arange(len(rows))).tolist()
 
 
+def test_pairs_at_the_threshold_meet(spark):
+    """Pairs just above the threshold, in many loose vectors and with a narrow window."""
+    rng = np.random.default_rng(3)
+    first = rng.standard_normal((1500, 32))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    away = rng.standard_normal(first.shape)
+    away -= (away * first).sum(axis=1, keepdims=True) * first
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    both = np.concatenate([first, 0.905 * first + np.sqrt(1 - 0.905**2) * away])
+    got = near_duplicate_vectors(table_of(spark, both.tolist()), window=32, block=256).collect()
+    assert sum(r["n_links"] for r in got) >= 0.98 * brute_links(both.astype(np.float32))[0].sum()
+
+
 def test_more_passes_for_more_rows_and_harder_pairs():
     easy = passes_needed(10_000, 256, 0.95, 0.99)
     assert passes_needed(10_000_000, 256, 0.95, 0.99) > easy
