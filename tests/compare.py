@@ -100,12 +100,13 @@ def main() -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
-    bad = 0
+    bad = ran = 0
     for name, query in all_queries().items():
         if args.module and args.module not in query.build.__module__:
             continue
         if args.names and not any(n in name for n in args.names):
             continue
+        ran += 1
         start = time.time()
         try:
             problem = differences(name, query, spark, con, args.sf)
@@ -114,9 +115,9 @@ def main() -> int:
         bad += problem is not None
         kind = "rows" if query.sql is None else "sql"
         print(f"{'ok  ' if problem is None else 'FAIL'} {kind:4} {time.time() - start:6.2f}s {name} {problem or ''}", flush=True)
-    print(f"{bad} failing")
+    print(f"{bad} of {ran} failing")
     spark.stop()
-    return bad
+    return bad if ran else 1
 
 
 if __name__ == "__main__":
