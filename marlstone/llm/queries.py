@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.llm.centroids import centroid_clusters
 from marlstone.llm.knn import top_k_inner_product
 from marlstone.llm.language import LanguageModel, fit_languages, identify_languages
 from marlstone.llm.licenses import PHRASES, TEMPLATES, license_scan, needed, words_of
 from marlstone.llm.mixing import mix_sources
 from marlstone.llm.packing import pack_documents
+from marlstone.llm.prefix_trie import conversation_trie
 from marlstone.llm.quality import QualityModel, fit_quality, score_quality
 from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups
@@ -183,6 +185,99 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def _op11_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds spelt out one after the other."""
+
+    def assigned(at: int) -> str:
+        return f"""
+a{at} AS MATERIALIZED (
+  SELECT vec_id, v, arg_min(cluster, distance * {k} + cluster) AS cluster, min(distance) AS distance
+  FROM (SELECT vec_id, v, cluster, row, CAST(list_sum(list_transform(range(1, 65),
+          lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS distance FROM kept, c{at})
+  GROUP BY vec_id, v, row
+)"""
+
+    def moved(at: int) -> str:
+        return f"""
+s{at} AS (
+  SELECT cluster, i, CAST(floor((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*))
+    AS BIGINT) AS x FROM (SELECT cluster, v, unnest(range(1, 65)) AS i FROM a{at}) GROUP BY cluster, i
+), c{at + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(n.c, o.c) AS c FROM c{at} o
+  LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS c FROM s{at} GROUP BY cluster) n USING (cluster)
+)"""
+
+    steps = ", ".join(f"{assigned(at)}, {moved(at)}" for at in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v AS c FROM kept
+  QUALIFY cluster < {k}
+), {steps}, {assigned(rounds)}, i AS (
+  SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY cluster
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, cluster_inertia,
+  (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM i) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN i USING (cluster) JOIN c{rounds} USING (cluster)
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+_OP13_SQL = r"""
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), [CAST(0 AS BIGINT) FOR i IN range(8)]),
+      lambda d, y: xor(d >> 1, 3988292384 * (d & 1))))) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1 : c.h], c.turns[c.h + 1 :]) AS turns
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), paths AS (
+  SELECT conv_id, depth, len(turns) = depth AS ended, turns[1 : depth] AS prefix
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(array_to_string(coalesce(list(conv_id ORDER BY conv_id) FILTER (ended), []), ','))
+      AS ends_sha256
+  FROM paths GROUP BY depth, prefix
+), members AS (
+  SELECT p.conv_id AS member, n.conv_id, depth FROM paths p JOIN nodes n USING (depth, prefix)
+), linked AS (
+  SELECT n.*, m.conv_id AS parent_conv_id FROM nodes n
+  LEFT JOIN members m ON m.member = n.conv_id AND m.depth = n.depth - 1
+), valued AS (
+  SELECT l.*, coalesce(n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1)
+    * len(regexp_extract_all(prefix[depth].t, '[^ 	-]+')) END AS saved
+  FROM linked l LEFT JOIN (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n
+    FROM linked WHERE depth > 0 GROUP BY ALL) USING (conv_id, depth)
+), totals AS (
+  SELECT m.conv_id, m.depth, count(*) FILTER (v.n_children = 0) AS n_leaves, sum(v.saved) AS saved
+  FROM valued v JOIN members m ON m.member = v.conv_id AND m.depth <= v.depth GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
+  CAST(t.saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM valued v JOIN totals t USING (conv_id, depth)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_mixing": op2_mixing,
@@ -194,10 +289,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op11_centroids": op11_centroids,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL: dict[str, str] = {
     "op1_license_scan": _op1_sql(),
     "op5_vector_dedup": _OP5_SQL,
     "op6_top_k": _OP6_SQL,
+    "op11_centroids": _op11_sql(),
+    "op13_prefix_trie": _OP13_SQL,
 }
