@@ -32,7 +32,7 @@ class Trie:
 def ordered_turns(conversations: DataFrame) -> DataFrame:
     """(conv_id, at, a, b, words): the turns of each conversation, ``at`` counting from 0.
 
-    Turns are ordered by ``turn`` (null first), equal ones by role and then by hash.
+    Turns are ordered by ``turn`` (null first), equal ones by role and SHA-256 of the text.
     ``a`` and ``b`` are two hashes of role and text; a null role or text counts as
     empty. Rows without a conv_id belong to no conversation. Texts are read whole and
     don't leave the task that hashed them.
@@ -46,8 +46,10 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(1), role, text).alias("a"),
         F.xxhash64(F.lit(2), role, text).alias("b"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
+        F.sha2(text.cast("binary"), 256).alias("tie"),
     )
-    return with_position(turns, ["conv_id"], ["turn", "role", "a", "b"], "at").drop("turn", "role")
+    order = ["turn", "role", "tie"]
+    return with_position(turns, ["conv_id"], order, "at").drop(*order)
 
 
 def with_shared_leads(turns: DataFrame, family: int = 20, leads: int = 4) -> DataFrame:

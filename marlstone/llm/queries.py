@@ -19,6 +19,7 @@ from marlstone.llm.sharding import shard_by_bytes
 from marlstone.llm.simhash import simhash_groups
 from marlstone.llm.token_counts import count_tokens
 from marlstone.llm.vector_dedup import near_duplicate_vectors
+from marlstone.llm.wrappers import extract_articles
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -232,6 +233,10 @@ FROM a{rounds} JOIN i USING (cluster) JOIN c{rounds} USING (cluster)
 """
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_articles(_table(spark, sf_dir, "pages"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
@@ -239,7 +244,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP13_SQL = r"""
 WITH own AS (
   SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
-    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
 ), hashed AS (
   SELECT conv_id, turns, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
@@ -265,7 +270,8 @@ WITH own AS (
   LEFT JOIN members m ON m.member = n.conv_id AND m.depth = n.depth - 1
 ), valued AS (
   SELECT l.*, coalesce(n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1)
-    * len(regexp_extract_all(prefix[depth].t, '[^ 	-]+')) END AS saved
+    * len(regexp_extract_all(prefix[depth].t, '[^ 	-
+]+')) END AS saved
   FROM linked l LEFT JOIN (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n
     FROM linked WHERE depth > 0 GROUP BY ALL) USING (conv_id, depth)
 ), totals AS (
@@ -290,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
     "op11_centroids": op11_centroids,
+    "op12_html": op12_html,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
