@@ -38,7 +38,7 @@ from marlstone.catalog.order_queries import (
 )
 from marlstone.catalog.registry import Registry
 from marlstone.functions.text import SENTIMENT_LABELS
-from marlstone.operators import evaluate, models, sampling, scaling
+from marlstone.operators import evaluate, models, sampling, scaling, tuning
 from marlstone.plans import donors as donor_plan
 from marlstone.plans import orders as order_plan
 from marlstone.session import scratch_path, stable
@@ -273,12 +273,11 @@ def logistic_grid(t: Tables):
     rows = table.count()
     # regParam = 1 / (C * rows) for C in 0.1, 1, 10; elastic net 1 is l1, 0 is l2.
     grid = {"regParam": [1.0 / (c * rows) for c in (0.1, 1.0, 10.0)], "elasticNetParam": [1.0, 0.0]}
-    return _grid_summary(models.grid_search(models.logistic(rows), grid, table))
+    return _grid_summary(models.grid_results(models.grid_search(models.logistic(rows), grid, table)))
 
 
-def _grid_summary(search):
+def _grid_summary(table):
     """Points searched, how many are best, and whether that one is the highest."""
-    table = models.grid_results(search)
     return table.agg(
         F.countDistinct("params").alias("points"),
         F.count_if("is_best").alias("best"),
@@ -312,12 +311,10 @@ def refitted_text_classifier(t: Tables):
 def vector_forest_grid(t: Tables):
     """Number and depth of trees and rows per leaf by cross-validation on the vectors.
 
-    Depth 30, the deepest there is, stands for no limit; a least number of rows per split
-    has no form here.
+    Depth 30, the deepest there is, stands for no limit.
     """
-    table = stable(_vectors(t).select("features", F.col("label").cast("double").alias("label")))
-    grid = {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4]}
-    return _grid_summary(models.grid_search(models.forest(seed=42), grid, table))
+    search = tuning.forest_search(_vectors(t), [50, 100, 200], [10, 20, 30], [1, 2, 4])
+    return _grid_summary(search.table())
 
 
 def _campaign(t: Tables, spec):

@@ -142,11 +142,7 @@ def gappy_score_deciles(t: Tables):
          WHERE rn > n - floor(n * 0.3) OR rn <= floor(n * 0.3)""",
 )
 def gappy_score_tails(t: Tables):
-    tails = [
-        ranking.score_tail(_gappy(t), "score", "id", 0.3, side).select(F.lit(side).alias("side"), "id", "score")
-        for side in ("top", "bottom")
-    ]
-    return tails[0].unionByName(tails[1])
+    return ranking.score_tails(_gappy(t), "score", "id", 0.3).select("side", "id", "score")
 
 
 # --- reports on scored tables ---------------------------------------------------------
@@ -350,8 +346,7 @@ def segment_measures(t: Tables):
     scored, dims = _customer_scores(t)
     tails = evaluate.segment_tails(scored, "donorID", "score", dims)
     measures = ["frequency", "mean_price"]
-    stored = {side: stable(tail.select(*measures)) for side, tail in tails.items()}
-    lines = evaluate.segment_measures(stored, measures)
+    lines = evaluate.segment_measures(stable(tails.select("segment", *measures)), measures)
     return lines.withColumns({c: F.round(c, 4) for c in ("mean", "stddev", "q25", "median", "q75")})
 
 

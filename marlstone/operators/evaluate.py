@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from marlstone.operators.profile import compare_distributions, summarize
-from marlstone.operators.ranking import score_deciles, score_tail
+from marlstone.operators.profile import summarize
+from marlstone.operators.ranking import score_deciles, score_tails
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -87,14 +87,87 @@ def classification_report(
     )
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score") -> float:
-    """Exact area under the ROC curve (ties count half), by Spark's distributed curve."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="score", numBins=0
+#: Blocks of the score order are found by two comparisons with this many edges each.
+_EDGES = 64
+
+
+def _with_score_blocks(df: DataFrame, score: str, out: str) -> DataFrame:
+    """Add a number that grows with the score and splits the rows into some 4,000 even blocks.
+
+    The edges are approximate percentiles in a scalar subquery: first the wide ones,
+    then those between two wide ones. A wrong guess makes blocks uneven, nothing else.
+    """
+    ends = [i / _EDGES**2 for i in range(1, _EDGES**2)]
+    edges = df.agg(F.percentile_approx(score, ends, 10_000)).scalar()
+
+    def passed(own: Column) -> Column:
+        return F.coalesce(F.size(F.filter(own, lambda e: e < F.col(score))), F.lit(0))
+
+    # A subquery must be a column before higher-order functions may read it.
+    held = df.withColumn("_edges", edges)
+    wide = F.transform(F.sequence(F.lit(1), F.lit(_EDGES - 1)), lambda i: F.get("_edges", i * _EDGES - 1))
+    held = held.withColumn("_wide", passed(wide))
+    narrow = passed(F.slice("_edges", F.col("_wide") * _EDGES + 1, F.lit(_EDGES - 1)))
+    return held.withColumn(out, F.col("_wide") * _EDGES + narrow).drop("_edges", "_wide")
+
+
+def _area(df: DataFrame, groups: Sequence[str], label: str, score: str) -> DataFrame:
+    """(groups, score): the area of one score column, named after it."""
+    names = [f"_g{i}" for i in range(len(groups))]
+    # A group of its own where there are none.
+    keys = [F.col(g).alias(n) for g, n in zip(groups, names, strict=True)] or [F.lit(0).alias("_g0")]
+    names = names or ["_g0"]
+    given = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        *keys, F.col(score).cast("double").alias("_score"), (F.col(label) == 1).alias("_positive")
     )
-    return evaluator.evaluate(
-        df.select(F.col(label).cast("double").alias("label"), F.col(score).alias("score"))
+    given = _with_score_blocks(given, "_score", "_block")
+    # Equal scores share a row, however many they are.
+    ties = given.groupBy(*names, "_block", "_score").agg(
+        F.count_if("_positive").alias("_p"), F.count_if(~F.col("_positive")).alias("_n")
     )
+    # At most one row per group and block from here to the join.
+    sums = ties.groupBy(*names, "_block").agg(F.sum("_n").alias("_below"))
+    earlier = Window.partitionBy(*names).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_below", F.coalesce(F.sum("_below").over(earlier), F.lit(0)))
+    within = Window.partitionBy(*names, "_block").orderBy("_score")
+    before = F.coalesce(
+        F.sum("_n").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    placed = ties.withColumn("_before", before).join(sums, [*names, "_block"])
+    beaten = F.col("_p") * (F.col("_below") + F.col("_before") + F.col("_n") / 2)
+    wins = placed.groupBy(*names).agg(
+        F.try_divide(F.sum(beaten), F.sum("_p").cast("double") * F.sum("_n")).alias(score)
+    )
+    return wins.select(*[F.col(n).alias(g) for g, n in zip(groups, names, strict=False)], score)
+
+
+def auc_by(
+    df: DataFrame, groups: Sequence[str], label: str = "label", scores: Sequence[str] = ("score",)
+) -> DataFrame:
+    """(groups, scores): the exact area under the ROC curve of each score in each group.
+
+    The area is the share of pairs of a positive and a negative row that the score
+    orders rightly, ties counting half: a sum over the positives of the negatives
+    before them, which blocks of the score order and one offset per block give without
+    a global sort. Lazy. Rows with a null score or label take no part, NaN comes last;
+    a group without both classes has null.
+    """
+    table = None
+    for score in scores:
+        part = _area(df, groups, label, score)
+        if table is None:
+            table = part
+        elif groups:
+            table = table.join(part, list(groups))
+        else:
+            # One row on either side.
+            table = table.crossJoin(part)
+    return table
+
+
+def auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row, ``auc``: the exact area under the ROC curve; no row for an empty table."""
+    return auc_by(df.withColumn("auc", F.col(score)), [], label, ["auc"])
 
 
 def evaluate_classifier(
@@ -106,7 +179,7 @@ def evaluate_classifier(
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("accuracy"),
         (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
     )
-    return weighted.withColumn("auc", F.lit(auc(df, label, score)))
+    return weighted.withColumn("auc", auc(df, label, score).scalar())
 
 
 def log_loss(df: DataFrame, label: str = "label", score: str = "score", eps: float = 1e-15) -> DataFrame:
@@ -133,7 +206,9 @@ def lift_table(
     grouped = deciles.groupBy("decile").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("long")).alias("positives")
     )
-    base = grouped.agg(F.try_divide(F.sum("positives"), F.sum("rows"))).scalar()
+    # One row per decile.
+    every = Window.partitionBy()
+    base = F.try_divide(F.sum("positives").over(every), F.sum("rows").over(every))
     rate = F.col("positives") / F.col("rows")
     return grouped.withColumn("lift", F.try_divide(rate, base))
 
@@ -143,11 +218,11 @@ def cumulative_gain(
 ) -> DataFrame:
     """(decile, gain): share of all positives within the first deciles."""
     table = lift_table(df, key, label, score, n).select("decile", "positives")
-    # n rows: every pair of deciles is at most n * n lines.
-    upto = table.select(F.col("positives").alias("p"), F.explode(F.sequence("decile", F.lit(n))).alias("decile"))
-    gains = upto.groupBy("decile").agg(F.sum("p").alias("cumulative_positives"))
-    total = table.agg(F.sum("positives")).scalar()
-    return gains.withColumn("gain", F.try_divide(F.col("cumulative_positives"), total))
+    # One row per decile.
+    upto = Window.orderBy("decile").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum("positives").over(Window.partitionBy())
+    gains = table.withColumn("cumulative_positives", F.sum("positives").over(upto))
+    return gains.withColumn("gain", F.try_divide("cumulative_positives", total)).drop("positives")
 
 
 def profile_segment(scored: DataFrame, dims: Sequence[DataFrame], key: str) -> DataFrame:
@@ -159,36 +234,46 @@ def profile_segment(scored: DataFrame, dims: Sequence[DataFrame], key: str) -> D
 
 def segment_tails(
     scored: DataFrame, key: str, score: str, dims: Sequence[DataFrame], fraction: float = 0.1
-) -> dict[str, DataFrame]:
-    """The top and bottom tail of a score with the columns of their dimensions."""
-    return {
-        side: profile_segment(score_tail(scored, score, key, fraction, side), dims, key)
-        for side in ("top", "bottom")
-    }
-
-
-def segment_shares(tails: dict[str, DataFrame], categories: Sequence[str]) -> DataFrame:
-    """(attribute, category, top_percent, low_percent) of the two tails."""
-    shares = None
-    for attribute in categories:
-        part = compare_distributions(tails["top"], tails["bottom"], attribute).select(
-            F.lit(attribute).alias("attribute"),
-            F.col(attribute).cast("string").alias("category"),
-            F.col("percent_a").alias("top_percent"),
-            F.col("percent_b").alias("low_percent"),
-        )
-        shares = part if shares is None else shares.unionByName(part)
-    return shares
-
-
-def segment_measures(tails: dict[str, DataFrame], measures: Sequence[str]) -> DataFrame:
-    """(segment, column_name, count, mean, ..., max) of the two tails.
-
-    Each tail's measures are read several times for the exact quartiles: store the
-    tails first where they are costly.
+) -> DataFrame:
+    """The top and the low tail of a score (``segment``) with the columns of their dimensions."""
+    tails = score_tails(scored, score, key, fraction, "segment")
+    named = F.when(F.col("segment") == "top", "top").otherwise("low")
+    return profile_segment(tails.withColumn("segment", named), dims, key)
+
+
+def segment_shares(tails: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """(attribute, category, top_percent, low_percent) of the two segments of ``segment_tails``.
+
+    Null categories count in the percentages but have no line; a category that a segment
+    lacks is null there. One pass for all attributes.
+    """
+    top, low = F.col("segment") == "top", F.col("segment") == "low"
+    pairs = [
+        F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("category")) for c in categories
+    ]
+    lines = tails.select("segment", F.inline(F.array(*pairs)))
+    counts = lines.groupBy("attribute", "category").agg(
+        F.count_if(top).alias("top"), F.count_if(low).alias("low")
+    )
+    # One row per category of the groups from here on.
+    whole = counts.groupBy("attribute").agg(F.sum("top").alias("all_top"), F.sum("low").alias("all_low"))
+
+    def percent(n: str, total: str) -> Column:
+        return F.when(F.col(n) > 0, F.col(n) / F.col(total) * 100)
+
+    return counts.where(F.col("category").isNotNull()).join(whole, "attribute").select(
+        "attribute",
+        "category",
+        percent("top", "all_top").alias("top_percent"),
+        percent("low", "all_low").alias("low_percent"),
+    )
+
+
+def segment_measures(tails: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """(segment, column_name, count, mean, ..., max) of the two segments of ``segment_tails``.
+
+    The measures are read several times for the exact quartiles: store the tails first
+    where they are costly.
     """
-    lines = None
-    for side, name in (("top", "top"), ("bottom", "low")):
-        part = summarize(tails[side], measures).select(F.lit(name).alias("segment"), "*")
-        lines = part if lines is None else lines.unionByName(part)
-    return lines
+    sides = {name: F.col("segment") == name for name in ("top", "low")}
+    return summarize(tails, measures, sides)

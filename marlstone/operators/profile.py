@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.operators.selection import interpolated_percentiles
+from marlstone.operators.selection import percentiles_of
 
 
 def count_missing(df: DataFrame) -> DataFrame:
@@ -78,38 +78,41 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def summarize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def summarize(
+    df: DataFrame, cols: Sequence[str], segments: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max per column.
 
-    The quartiles interpolate and are found by narrowing value brackets (no
-    sort of the table and no per-value buffer in one task).
+    With ``segments``, a condition by name, the same of the rows of each segment, in a
+    first column ``segment``; all segments and columns share the passes. The quartiles
+    interpolate and are found by narrowing value brackets (no sort of the table and no
+    per-value buffer in one task); the other measures come from the first of their passes.
     """
-    probabilities = [0.25, 0.5, 0.75]
-    quartiles = interpolated_percentiles(df, {c: probabilities for c in cols})
-    stats = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("count"),
-                F.avg(c).cast("double").alias("mean"),
-                F.stddev_samp(c).alias("stddev"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in cols
-        ]
-    )
-    lines = [
+    parts = [
+        (f"{i}_{c}", name, c, F.col(c) if rows is None else F.when(rows, F.col(c)))
+        for i, (name, rows) in enumerate((segments or {None: None}).items())
+        for c in cols
+    ]
+    values = {part: value for part, _, _, value in parts}
+    measures = [
         F.struct(
-            F.lit(c).alias("column_name"),
-            *[F.col(c)[x].alias(x) for x in ("count", "mean", "stddev", "min", "max")],
-            *[
-                F.lit(quartiles[c][i]).cast("double").alias(x)
-                for i, x in enumerate(("q25", "median", "q75"))
-            ],
+            F.count(v),
+            F.avg(v).cast("double"),
+            F.stddev_samp(v).cast("double"),
+            F.min(v).cast("double"),
+            F.max(v).cast("double"),
         )
-        for c in cols
+        for v in values.values()
     ]
-    return stats.select(F.inline(F.array(*lines)))
+    quartiles, found = percentiles_of(df, values, dict.fromkeys(values, [0.25, 0.5, 0.75]), measures)
+    schema = "column_name string, count long, mean double, stddev double, min double, max double"
+    schema += ", q25 double, median double, q75 double"
+    lines = [(c, *own, *quartiles[part]) for (part, _, c, _), own in zip(parts, found, strict=True)]
+    if segments:
+        schema = "segment string, " + schema
+        lines = [(name, *line) for (_, name, _, _), line in zip(parts, lines, strict=True)]
+    # One line per column and segment.
+    return df.sparkSession.createDataFrame(lines, schema)
 
 
 def mode_of(df: DataFrame, col: str) -> DataFrame:

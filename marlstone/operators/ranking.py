@@ -9,8 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.operators.selection import find_ranks, tie_at
-from marlstone.session import stable
+from marlstone.operators.selection import Tie, find_ranks, find_ties
 
 
 @dataclass(frozen=True)
@@ -20,6 +19,7 @@ class _Order:
     kind: Column
     value: Column  # 0 where the score is no number
     tie: Column
+    key: str
 
     @classmethod
     def of(cls, score: str, key: str, descending: bool) -> _Order:
@@ -28,7 +28,7 @@ class _Order:
         nan, null = (0, 2) if descending else (2, 0)
         kind = F.when(s.isNull(), null).when(F.isnan(s), nan).otherwise(1)
         signed = -s if descending else s
-        return cls(kind, F.when(kind == 1, signed).otherwise(F.lit(0.0)), F.col(key))
+        return cls(kind, F.when(kind == 1, signed).otherwise(F.lit(0.0)), F.col(key), key)
 
     def after(self, kind: int, value: float, tie) -> Column:
         same = (self.kind == kind) & (self.value == value)
@@ -41,8 +41,10 @@ def _boundaries(
 ) -> tuple[int, dict[int, tuple]]:
     """Number of rows, and (kind, value, key) of the rows at the positions wanted.
 
-    At most four passes over ``df``: two for the score and two that store the
-    candidates between counted values and the rows that tie with a boundary.
+    One search finds the scores at all positions, one the keys among the rows that tie
+    with them. Together at most five passes over ``df``: three for the scores, of which
+    one stores the candidates between counted values, and two for the ties, of which
+    one stores those of large groups; small tables take three.
     """
     counts: dict[int, int] = {}
 
@@ -55,26 +57,20 @@ def _boundaries(
     kinds = [F.count_if(order.kind == k) for k in (0, 2)]
     found = find_ranks(df, {"score": number}, ranks, kinds)["score"]
     total = sum(counts.values())
-    places: dict[int, tuple[int, float, int]] = {}
+    places: dict[int, tuple[int, float]] = {}
+    ties: dict[int, Tie] = {}
     for p in positions(total):
-        if p <= counts[0]:
-            places[p] = (0, 0.0, p)
-        elif p <= counts[0] + counts[1]:
-            value, below = found[p - counts[0]]
-            places[p] = (1, value, p - counts[0] - below)
-        else:
-            places[p] = (2, 0.0, p - counts[0] - counts[1])
-    if not places:
-        return total, {}
-    groups = sorted({(kind, value) for kind, value, _ in places.values()})
-    tied = F.lit(None).cast("int")
-    for g, (kind, value) in enumerate(groups):
-        tied = F.when((order.kind == kind) & (order.value == value), g).otherwise(tied)
-    ties = stable(df.select(tied.alias("g"), order.tie.alias("tie")).where(F.col("g").isNotNull()))
-    return total, {
-        p: (kind, value, tie_at(ties, groups.index((kind, value)), rank))
-        for p, (kind, value, rank) in places.items()
-    }
+        kind, value, size, rank = 0, 0.0, counts[0], p
+        if counts[0] < p <= counts[0] + counts[1]:
+            value, below, size = found[p - counts[0]]
+            kind, rank = 1, p - counts[0] - below
+        elif p > counts[0]:
+            kind, size, rank = 2, counts[2], p - counts[0] - counts[1]
+        places[p] = (kind, value)
+        ties[p] = Tie((order.kind == kind) & (order.value == value), size, rank)
+    is_text = dict(df.dtypes)[order.key] in ("string", "binary")
+    find_ties(df, order.tie, list(ties.values()), is_text)
+    return total, {p: (*places[p], ties[p].found) for p in places}
 
 
 def score_deciles(
@@ -110,18 +106,50 @@ def score_tail(
     Rows are ordered by (score, key) ascending, null scores first and NaN last; the
     top tail is the end of that order. ``key`` is a unique number or text without nulls.
     """
+    if side not in ("top", "bottom"):
+        raise ValueError(f"unknown side: {side!r}")
+    tails = _with_tails(df, score, key, fraction, {side})
+    return tails.where(F.col("_tail") == side).drop("_tail")
+
+
+def score_tails(
+    df: DataFrame, score: str, key: str, fraction: float = 0.1, out: str = "side"
+) -> DataFrame:
+    """Both tails of ``score_tail`` in one table, told apart by ``out``: top or bottom.
+
+    Both cuts come from the same search. Tails must not overlap.
+    """
+    if fraction > 0.5:
+        raise ValueError("tails of more than a half overlap")
+    tails = _with_tails(df, score, key, fraction, {"top", "bottom"})
+    return tails.where(F.col("_tail").isNotNull()).withColumnRenamed("_tail", out)
+
+
+def _with_tails(
+    df: DataFrame, score: str, key: str, fraction: float, sides: set[str]
+) -> DataFrame:
+    """Add ``_tail``: top, bottom or null, for the wanted sides."""
     order = _Order.of(score, key, descending=False)
 
-    def cut(rows: int) -> list[int]:
+    def cuts(rows: int) -> dict[str, int]:
         size = math.floor(rows * fraction)
-        at = size if side == "bottom" else rows - size
-        return [at] if 0 < size < rows else []
-
-    rows, boundaries = _boundaries(df, order, cut)
-    if not boundaries:
-        return df if math.floor(rows * fraction) >= rows else df.where(F.lit(False))
-    beyond = order.after(*next(iter(boundaries.values())))
-    return df.where(~beyond if side == "bottom" else beyond)
+        return {"bottom": size, "top": rows - size}
+
+    def inner(rows: int) -> list[int]:
+        return sorted({at for side, at in cuts(rows).items() if side in sides and 0 < at < rows})
+
+    rows, boundaries = _boundaries(df, order, inner)
+    tail = F.lit(None).cast("string")
+    for side, at in cuts(rows).items():
+        if side not in sides or math.floor(rows * fraction) == 0:
+            continue
+        if at not in boundaries:
+            own = F.lit(True)
+        else:
+            beyond = order.after(*boundaries[at])
+            own = beyond if side == "top" else ~beyond
+        tail = F.when(own, side).otherwise(tail)
+    return df.withColumn("_tail", tail)
 
 
 def top_k(df: DataFrame, col: str, k: int, key: str) -> DataFrame:

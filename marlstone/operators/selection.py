@@ -16,6 +16,8 @@ import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from marlstone.session import stable
 
 _GRID = 1_000
 _ACCURACY = 10_000
-_FINAL_ROWS = 5_000
+_FINAL_ROWS = 20_000
 
 
 @dataclass
@@ -38,9 +40,10 @@ class _Search:
     inside: int = 0  # number of candidates
     found: object = None
     before: int = 0  # rows below the value found
+    equal: int = 0  # rows that hold it
 
-    def settle(self, value, before: int) -> None:
-        self.found, self.before = value, before
+    def settle(self, value, before: int, equal: int) -> None:
+        self.found, self.before, self.equal = value, before, equal
 
     def candidates(self) -> Column:
         return F.when(_between(self.value, self.low, self.high), self.value)
@@ -102,13 +105,13 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
         if rank <= before:
             s.high, s.inside = low, before
         elif rank <= before + at_low:
-            s.settle(low, s.below + before)
+            s.settle(low, s.below + before, at_low)
         elif rank <= before + at_low + between:
             s.low, s.high = low, high
             s.below += before + at_low
             s.inside = between
         elif rank <= before + at_low + between + at_high:
-            s.settle(high, s.below + before + at_low + between)
+            s.settle(high, s.below + before + at_low + between, at_high)
         else:
             settled = before + at_low + between + at_high
             s.low = high
@@ -124,16 +127,19 @@ def _finish(df: DataFrame, searches: list[_Search]) -> None:
     if not groups:
         return
     # At most _FINAL_ROWS values per array; only the wanted entries come back.
+    arrays = [F.sort_array(F.collect_list(g[0].candidates())).alias(f"a{i}") for i, g in enumerate(groups)]
     picks = []
-    for group in groups:
-        ordered = F.sort_array(F.collect_list(group[0].candidates()))
-        wanted = [F.get(ordered, F.lit(s.rank - s.below - 1)) for s in group]
-        picks += [F.struct(v, F.array_position(ordered, v) - 1) for v in wanted]
-    found = iter(_one_row(df, picks))
+    for i, group in enumerate(groups):
+        for s in group:
+            value = F.get(f"a{i}", F.lit(s.rank - s.below - 1))
+            first = F.array_position(f"a{i}", value) - 1
+            after = F.array_position(F.reverse(f"a{i}"), value) - 1
+            picks.append(F.struct(value, first, F.size(f"a{i}") - first - after))
+    found = iter(_one_row(df.agg(*arrays), [F.first(p) for p in picks]))
     for group in groups:
         for s in group:
-            value, before = next(found)
-            s.settle(value, s.below + before)
+            value, before, equal = next(found)
+            s.settle(value, s.below + before, equal)
 
 
 def find_ranks(
@@ -141,10 +147,12 @@ def find_ranks(
     values: Mapping[str, Column],
     wanted: Callable[[dict[str, int], list], Mapping[str, Iterable[int]]],
     extra: Sequence[Column] = (),
-) -> dict[str, dict[int, tuple[object, int]]]:
-    """(value, rows below it) at 1-based ascending ranks of each named numeric expression.
+) -> dict[str, dict[int, tuple[object, int, int]]]:
+    """(value, rows below it, rows that hold it) at 1-based ascending ranks of each named
+    numeric expression.
 
-    Nulls take no part. ``wanted`` names the ranks once the number of values of each
+    Nulls take no part. Where every expression has few values, the second pass reads them
+    from ordered arrays and is the last. ``wanted`` names the ranks once the number of values of each
     expression and the ``extra`` aggregates are known; they come from the first pass.
     """
     values = dict(values)
@@ -164,6 +172,9 @@ def find_ranks(
             searches.append(_Search(name, values[name], rank, inside=sizes[name]))
     if not searches:
         return {name: {} for name in ranks}
+    if all(s.inside <= _FINAL_ROWS for s in searches):
+        _finish(df, searches)
+        return _results(ranks, searches)
     probes = {name: _probes(digests[name], ranks[name], sizes[name]) for name in ranks}
     counts = []
     for name, own in probes.items():
@@ -190,9 +201,13 @@ def find_ranks(
                 if s.name == name:
                     s.value = kept[f"v{i}"]
         _finish(kept, left)
-    out: dict[str, dict[int, tuple[object, int]]] = {name: {} for name in ranks}
+    return _results(ranks, searches)
+
+
+def _results(names: Iterable[str], searches: list[_Search]) -> dict[str, dict[int, tuple]]:
+    out: dict[str, dict[int, tuple]] = {name: {} for name in names}
     for s in searches:
-        out[s.name][s.rank] = (s.found, s.before)
+        out[s.name][s.rank] = (s.found, s.before, s.equal)
     return out
 
 
@@ -214,7 +229,7 @@ def _bracket(s: _Search, known: list[tuple[object, int, int]]) -> None:
     if at < len(known):
         value, below, equal = known[at]
         if s.rank > below:
-            s.settle(value, below)
+            s.settle(value, below, equal)
             return
         s.high, s.inside = value, below
     if at:
@@ -232,7 +247,7 @@ def select_ranks(
     """
     exprs = {n: F.when(~F.isnan(v.cast("double")), v) for n, v in values.items()}
     found = find_ranks(df, exprs, lambda sizes, _: ranks)
-    return {n: {r: v for r, (v, _) in own.items()} for n, own in found.items()}
+    return {n: {r: v for r, (v, *_) in own.items()} for n, own in found.items()}
 
 
 def _around(size: int, p: float) -> tuple[int, int, float]:
@@ -245,17 +260,30 @@ def interpolated_percentiles(
     df: DataFrame, wanted: Mapping[str, Sequence[float]]
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolation percentiles per column (null for an empty column)."""
-    exprs = {c: F.col(c).cast("double") for c in wanted}
+    return percentiles_of(df, {c: F.col(c) for c in wanted}, wanted)[0]
+
+
+def percentiles_of(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    wanted: Mapping[str, Sequence[float]],
+    extra: Sequence[Column] = (),
+) -> tuple[dict[str, list[float | None]], list]:
+    """``interpolated_percentiles`` of named expressions, and the ``extra`` aggregates, all
+    in the same passes."""
+    exprs = {c: v.cast("double") for c, v in values.items()}
     exprs = {c: F.when(~F.isnan(e), e) for c, e in exprs.items()}
     seen: dict[str, int] = {}
+    others: list = []
 
-    def ranks(sizes: dict[str, int], _: list) -> dict[str, list[int]]:
+    def ranks(sizes: dict[str, int], found: list) -> dict[str, list[int]]:
         seen.update(sizes)
+        others.extend(found)
         return {
             c: [r for p in wanted[c] for r in _around(n, p)[:2]] for c, n in sizes.items() if n
         }
 
-    values = find_ranks(df, exprs, ranks)
+    values = find_ranks(df, exprs, ranks, extra)
     out: dict[str, list[float | None]] = {}
     for c, probabilities in wanted.items():
         out[c] = [None] * len(probabilities)
@@ -263,7 +291,7 @@ def interpolated_percentiles(
             lower, upper, way = _around(seen[c], p)
             low, high = values[c][lower][0], values[c][upper][0]
             out[c][i] = low + (high - low) * way
-    return out
+    return out, others
 
 
 def exact_median(df: DataFrame, col: str) -> float | None:
@@ -274,31 +302,66 @@ def exact_median(df: DataFrame, col: str) -> float | None:
 _PREFIX = 7
 
 
-def tie_at(ties: DataFrame, group: int, rank: int):
-    """The ``rank``-th smallest tie of one group of ``ties`` (columns ``g`` and ``tie``).
+@dataclass
+class Tie:
+    """The ``rank``-th smallest tie among the ``size`` rows for which ``rows`` holds."""
+
+    rows: Column
+    size: int
+    rank: int
+    found: object = None
+
+
+def find_ties(df: DataFrame, tie: Column, wanted: Sequence[Tie], is_text: bool) -> None:
+    """Settle all ``wanted`` ties in the same passes.
 
-    Numbers are searched like any value, texts by their bytes, seven at a time:
-    texts that begin alike are searched again by what follows.
+    Few rows are read into ordered arrays, in one pass for all. Of the large groups the
+    rows are stored once; numbers are searched there like any value, texts by their bytes,
+    ``_PREFIX`` at a time: texts that begin alike are searched again by what follows.
     """
-    own = ties.where(F.col("g") == group)
-    if dict(ties.dtypes)["tie"] not in ("string", "binary"):
-        found = find_ranks(own, {"tie": F.col("tie")}, lambda *_: {"tie": [rank]})
-        return found["tie"][rank][0]
-    at = 0
-    while own.count() > _FINAL_ROWS:
-        part = F.substring(F.encode(F.col("tie").cast("string"), "utf-8"), at * _PREFIX + 1, _PREFIX)
-        whole = F.rpad(F.hex(part), 2 * _PREFIX, "0")
-        # Where nothing follows, the text comes first.
-        number = F.when(F.length(part) == 0, F.lit(-1)).otherwise(F.conv(whole, 16, 10).cast("long"))
-        found = find_ranks(own, {"p": number.cast("long")}, lambda *_, r=rank: {"p": [r]})
-        value, below = found["p"][rank]
-        own, rank, at = own.where(number == value), rank - below, at + 1
-        if value == -1:
-            break
-    # One distinct text, or few rows.
-    ordered = own.groupBy("tie").agg(F.count(F.lit(1)).alias("n")).orderBy("tie").collect()
-    for row in ordered:
-        if rank <= row["n"]:
-            return row["tie"]
-        rank -= row["n"]
-    raise ValueError(f"rank {rank} of ties outside their number")
+    large = [w for w in wanted if w.size > _FINAL_ROWS]
+    if large:
+        # A column for each group, as the groups of two searches may be the same.
+        own = [w.rows.alias(f"in{i}") for i, w in enumerate(large)]
+        held = df.select(*own, tie.alias("tie")).where(reduce(or_, [F.col(f"in{i}") for i in range(len(large))]))
+        held = stable(held)
+        left = [(w, Tie(F.col(f"in{i}"), w.size, w.rank)) for i, w in enumerate(large)]
+        at, ended = 0, []
+        while wide := [x for _, x in left if x.size > _FINAL_ROWS and x.found is None]:
+            if not is_text:
+                number = F.col("tie")
+            else:
+                part = F.substring(F.encode(F.col("tie").cast("string"), "utf-8"), at * _PREFIX + 1, _PREFIX)
+                whole = F.rpad(F.hex(part), 2 * _PREFIX, "0")
+                # Where nothing follows, the text comes first.
+                number = F.when(F.length(part) == 0, F.lit(-1)).otherwise(F.conv(whole, 16, 10).cast("long"))
+            found = find_ranks(
+                held,
+                {str(i): F.when(x.rows, number) for i, x in enumerate(wide)},
+                lambda *_, wide=wide: {str(i): [x.rank] for i, x in enumerate(wide)},
+            )
+            for i, x in enumerate(wide):
+                value, below, equal = found[str(i)][x.rank]
+                if not is_text:
+                    x.found = value
+                    continue
+                x.rows, x.rank, x.size = x.rows & (number == value), x.rank - below, equal
+                if value == -1:
+                    # Nothing but one text.
+                    x.size = 0
+                    ended.append(x)
+            at += 1
+        _pick_ties(held, F.col("tie"), [x for _, x in left if x.found is None and x.size], ended)
+        for w, x in left:
+            w.found = x.found
+    _pick_ties(df, tie, [w for w in wanted if w.size <= _FINAL_ROWS], [])
+
+
+def _pick_ties(df: DataFrame, tie: Column, few: Sequence[Tie], same: Sequence[Tie]) -> None:
+    """Read ties from ordered arrays of few rows, or of rows that are all the same."""
+    if not few and not same:
+        return
+    picks = [F.get(F.sort_array(F.collect_list(F.when(w.rows, tie))), F.lit(w.rank - 1)) for w in few]
+    picks += [F.min(F.when(w.rows, tie)) for w in same]
+    for w, value in zip([*few, *same], _one_row(df, picks), strict=True):
+        w.found = value

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from marlstone import session
 from marlstone.operators import evaluate, grouping, ordered, profile, ranking, scaling, selection, text_ops
 from marlstone.operators import clean
 
@@ -239,7 +240,75 @@ def test_rates_without_cases_are_zero(spark):
 
 def test_auc_counts_ties_half(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1)], "label int, score double")
-    assert evaluate.auc(df) == pytest.approx(0.875)
+    assert evaluate.auc(df).first()[0] == pytest.approx(0.875)
+
+
+def pairwise_auc(rows):
+    positives = [s for y, s in rows if y == 1]
+    negatives = [s for y, s in rows if y == 0]
+    wins = sum((p > n) + 0.5 * (p == n) for p in positives for n in negatives)
+    return wins / (len(positives) * len(negatives))
+
+
+def test_auc_of_groups_and_several_scores(spark):
+    rng = random.Random(8)
+    rows = [
+        (i % 3, int(rng.random() < 0.3), rng.choice([rng.random(), 0.25, 0.5]), rng.gauss(0, 1)) for i in range(900)
+    ]
+    rows += [(0, 1, None, 0.0), (0, None, 0.4, 0.0), (7, 1, 0.5, 0.5), (7, 1, 0.1, 0.5)]
+    df = spark.createDataFrame(rows, "g int, label int, a double, b double")
+    got = {r["g"]: r for r in evaluate.auc_by(df, ["g"], "label", ["a", "b"]).collect()}
+    for g in range(3):
+        own = [r for r in rows if r[0] == g and r[1] is not None]
+        assert got[g]["a"] == pytest.approx(pairwise_auc([(r[1], r[2]) for r in own if r[2] is not None]))
+        assert got[g]["b"] == pytest.approx(pairwise_auc([(r[1], r[3]) for r in own]))
+    assert got[7]["a"] is None and got[7]["b"] is None
+    assert evaluate.auc(df.limit(0), "label", "a").collect() == []
+
+
+def jobs_of(spark, work):
+    """Spark jobs that ``work`` starts."""
+    name = f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_metrics_are_lazy(spark):
+    df = spark.createDataFrame([(1, 1, 0.5), (0, 1, 0.5)], "label int, prediction int, score double")
+    assert jobs_of(spark, lambda: evaluate.evaluate_classifier(df)) == 0
+
+
+@pytest.mark.parametrize("rows", [150, 15_000, 60_000])
+def test_reports_take_few_jobs(spark, rows):
+    """Also where the scores are too many for ordered arrays."""
+    df = session_table(spark, rows)
+    assert jobs_of(spark, lambda: evaluate.lift_table(df, "id").collect()) <= 12
+    assert jobs_of(spark, lambda: ranking.score_tails(df, "score", "id").collect()) <= 12
+    tails = session.stable(ranking.score_tails(df, "score", "id", 0.1, "segment"))
+    assert jobs_of(spark, lambda: evaluate.segment_measures(tails, ["score"]).collect()) <= 5
+
+
+def session_table(spark, rows):
+    made = spark.range(rows).select("id", (F.col("id") * 37 % 1009).cast("double").alias("score"))
+    return session.stable(made.withColumn("label", (F.col("id") % 3 == 0).cast("int")))
+
+
+@pytest.mark.parametrize("final", [3, 20_000])
+def test_both_tails_at_once(spark, monkeypatch, final):
+    monkeypatch.setattr(selection, "_FINAL_ROWS", final)
+    rows = [(f"k{i:04d}", None if i % 11 == 0 else float(i % 5)) for i in range(1, 400)]
+    df = spark.createDataFrame(rows, "id string, score double")
+    got = {r["id"]: r["side"] for r in ranking.score_tails(df, "score", "id", 0.3).collect()}
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]))
+    want = {r[0]: "bottom" for r in ordered[:119]} | {r[0]: "top" for r in ordered[-119:]}
+    assert got == want
+    with pytest.raises(ValueError, match="overlap"):
+        ranking.score_tails(df, "score", "id", 0.6)
+    assert ranking.score_tails(df.limit(2), "score", "id", 0.3).collect() == []
 
 
 def test_deciles_and_tails_place_nulls_and_nan(spark):
@@ -269,7 +338,7 @@ def test_text_keys_break_ties_by_bytes(spark, monkeypatch):
     assert got == {r["id"]: r["decile"] for r in want}
 
 
-def test_deciles_read_the_source_at_most_five_times(spark, tmp_path):
+def test_deciles_read_the_source_few_times(spark, tmp_path):
     """Counted by the jobs that scan the stored source."""
     path = str(tmp_path / "scores")
     spark.range(40_000).selectExpr("id", "double(id % 9973) AS score").write.parquet(path)
