@@ -49,7 +49,8 @@ def ordered_turns(conversations: DataFrame) -> DataFrame:
         F.sha2(text.cast("binary"), 256).alias("tie"),
     )
     order = ["turn", "role", "tie"]
-    return with_position(turns, ["conv_id"], order, "at").drop(*order)
+    # Stored, or the sampling of range bounds would hash all texts a second time.
+    return with_position(store(turns), ["conv_id"], order, "at").drop(*order)
 
 
 def with_shared_leads(turns: DataFrame, family: int = 20, leads: int = 4) -> DataFrame:
