@@ -12,19 +12,17 @@ from pyspark.sql import functions as F
 from marlstone.llm.mixing import word_count
 from marlstone.llm.storage import store
 
-#: Bits of a bin's two bitmaps.
-BITS = 64
+def numbers_of(values: pd.Series) -> np.ndarray:
+    """A bit number of its own for each value that occurs more than once; -1 for the rest.
 
-
-def bits_of(values: pd.Series) -> np.ndarray:
-    """A bit number for each value, frequent values first; beyond ``BITS`` values share bits.
-
-    A shared bit can keep two pieces apart that might stand together, never the reverse.
+    Nulls and values that nothing else shares can't stand in the way of any piece.
     """
-    counts = values.value_counts(sort=False, dropna=False).reset_index()
-    counts.columns = ["value", "n"]
-    counts = counts.sort_values(["n", "value"], ascending=[False, True], ignore_index=True)
-    return values.map(pd.Series(np.arange(len(counts)) % BITS, index=counts["value"])).to_numpy()
+    codes, _ = pd.factorize(values)
+    known = codes >= 0
+    counts = np.bincount(codes[known], minlength=1)
+    again = counts > 1
+    own = np.where(again, np.cumsum(again) - 1, -1)
+    return np.where(known, own[codes], -1)
 
 
 def best_fit(
@@ -32,34 +30,38 @@ def best_fit(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each piece, in the given order.
 
-    Bins are kept by their residual. A piece goes to the bin with the smallest
-    residual that holds it and has neither its source bit nor its cluster bit (-1:
-    none); among equals to the oldest. ``free`` counts, for each source bit and
-    residual, the bins without that bit: the search moves to the next residual
-    with such a bin, and on from there while cluster bits stand against it. If no bin
-    is left the piece opens one.
+    Bins are kept by their residual, with bitmaps of the sources and clusters they hold:
+    Python integers, so every source and cluster has a bit of its own. A piece goes to the
+    bin with the smallest residual that holds it and has neither its source bit nor its
+    cluster bit (-1: none); among equals to the oldest. ``bins_at`` counts the bins of each
+    residual, ``taken`` for each source those that hold it: the search moves to the next
+    residual with a bin more than that, and on from there while cluster bits stand
+    against it. If no bin is left the piece opens one.
     """
-    free = np.zeros((BITS, capacity + 1), dtype=np.int32)
+    bins_at = np.zeros(capacity + 1, dtype=np.int32)
+    taken: dict[int, np.ndarray] = {}
     # Bins by residual, oldest first: bin -> its two bitmaps are looked up by number.
     held: list[dict[int, None]] = [{} for _ in range(capacity + 1)]
     source_bits: list[int] = []
     cluster_bits: list[int] = []
-    lacking: list[np.ndarray] = []
+    own_sources: list[list[int]] = []
     residual: list[int] = []
     bins, offsets = np.empty(len(sizes), dtype=np.int64), np.empty(len(sizes), dtype=np.int64)
     for i, (size, source, cluster) in enumerate(
         zip(sizes.tolist(), sources.tolist(), clusters.tolist(), strict=True)
     ):
-        mark = 1 << cluster if cluster >= 0 else 0
+        source_mark = 1 << source if source >= 0 else 0
+        cluster_mark = 1 << cluster if cluster >= 0 else 0
+        rivals = taken.get(source)
         found, at = -1, size
         while found < 0 and at <= capacity:
-            ahead = free[source, at:] > 0
+            ahead = bins_at[at:] > (0 if rivals is None else rivals[at:])
             step = int(ahead.argmax())
             if not ahead[step]:
                 break
             at += step
             found = min(
-                (b for b in held[at] if not source_bits[b] >> source & 1 and not cluster_bits[b] & mark),
+                (b for b in held[at] if not source_bits[b] & source_mark and not cluster_bits[b] & cluster_mark),
                 default=-1,
             )
             at += found < 0
@@ -68,17 +70,24 @@ def best_fit(
             residual.append(capacity)
             source_bits.append(0)
             cluster_bits.append(0)
-            lacking.append(np.ones(BITS, dtype=np.int32))
+            own_sources.append([])
         else:
             del held[at][found]
-            free[:, at] -= lacking[found]
+            bins_at[at] -= 1
+            for s in own_sources[found]:
+                taken[s][at] -= 1
         bins[i], offsets[i] = found, capacity - residual[found]
         residual[found] -= size
-        source_bits[found] |= 1 << source
-        cluster_bits[found] |= mark
-        lacking[found][source] = 0
+        source_bits[found] |= source_mark
+        cluster_bits[found] |= cluster_mark
+        if source >= 0:
+            own_sources[found].append(source)
+            if rivals is None:
+                taken[source] = np.zeros(capacity + 1, dtype=np.int32)
         held[residual[found]][found] = None
-        free[:, residual[found]] += lacking[found]
+        bins_at[residual[found]] += 1
+        for s in own_sources[found]:
+            taken[s][residual[found]] += 1
     return bins, offsets
 
 
@@ -134,11 +143,9 @@ def pack_documents(
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n_words", "row", "piece"], ascending=[False, True, True], ignore_index=True)
-        again = pdf["cluster"].notna() & pdf["cluster"].duplicated(keep=False)
-        marks = np.full(len(pdf), -1)
-        if again.any():
-            marks[again] = bits_of(pdf.loc[again, "cluster"])
-        bins, at = best_fit(pdf["n_words"].to_numpy(), bits_of(pdf["source"]), marks, capacity)
+        bins, at = best_fit(
+            pdf["n_words"].to_numpy(), numbers_of(pdf["source"]), numbers_of(pdf["cluster"]), capacity
+        )
         pdf["bin"] = (pdf["block"].to_numpy() << 32) + bins
         pdf["at"] = at
         return pdf[["_id", "piece", "first_word", "n_words", "bin", "at"]]
