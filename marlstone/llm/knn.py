@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from marlstone.llm.storage import store
@@ -96,9 +96,10 @@ def top_k_inner_product(
     work: the result is exact.
 
     Vectors that are null, empty or hold null or non-finite components take no part,
-    nor do null ids; vectors whose length isn't the commonest one (ties: the
-    shortest) are left out. Rows that repeat id and vector count once. An empty
-    table gives an empty table; other columns are not read.
+    nor do null ids. Vectors of different length have no inner product: each length is
+    solved by itself, one after the other, so a table is expected to have few of them.
+    Rows that repeat id and vector count once. Ids are whole numbers. An empty table
+    gives an empty table; other columns are not read.
     """
     rows = table.where(F.col(id_col).isNotNull()).withColumn("_query", F.coalesce(is_query, F.lit(False)))
     whole = finite_vectors(
@@ -111,19 +112,28 @@ def top_k_inner_product(
     lengths = data.groupBy(F.size("v").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("_query").cast("long")).alias("q")
     )
-    common = lengths.orderBy(F.desc("n"), "d").first()
-    if common is None:
-        return data.sparkSession.createDataFrame([], schema)
-    data = data.where(F.size("v") == common["d"])
-    wanted = max(1, math.ceil(common["q"] / queries_per_pivot))
+    found = None
+    for own in sorted(lengths.where(F.col("q") > 0).collect(), key=lambda r: r["d"]):
+        part = _top_k_of_length(
+            data.where(F.size("v") == own["d"]), own, k, queries_per_pivot, chunk, sample
+        )
+        found = part if found is None else found.union(part)
+    return data.sparkSession.createDataFrame([], schema) if found is None else found
+
+
+def _top_k_of_length(
+    data: DataFrame, own: Row, k: int, queries_per_pivot: int, chunk: int, sample: int
+) -> DataFrame:
+    """The join over vectors of one length: ``own`` has d, the length, n, rows, and q, queries."""
+    wanted = max(1, math.ceil(own["q"] / queries_per_pivot))
     drawn = (
-        data.where(F.pmod(F.xxhash64("id"), F.lit(max(1, common["n"] // sample))) == 0)
+        data.where(F.pmod(F.xxhash64("id"), F.lit(max(1, own["n"] // sample))) == 0)
         .orderBy(F.xxhash64("id", F.lit(1)), "v")
         .limit(min(wanted, sample))
     )
     pivots = np.array([r["v"] for r in drawn.select("v").collect()])
     if not len(pivots):
-        pivots = np.zeros((1, common["d"]))
+        pivots = np.zeros((1, own["d"]))
 
     def cell(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -142,8 +152,6 @@ def top_k_inner_product(
         .agg(F.max("gap").alias("u"), F.max(norm).alias("m"), F.count(F.lit(1)).alias("n"))
         .collect()
     )
-    if not summary:
-        return data.sparkSession.createDataFrame([], schema)
     groups = {r["cell"]: (r["u"], r["m"]) for r in summary}
     # A cell with many queries is dealt to several tasks.
     parts = {r["cell"]: math.ceil(r["n"] / (2 * queries_per_pivot)) for r in summary}
@@ -151,7 +159,7 @@ def top_k_inner_product(
     cells = {r["cell"]: np.array(r["near"]) for r in nearest.collect()}
     floor = bounds(pivots, groups, cells, k)
     names = np.array([(g, p) for g, n in sorted(parts.items()) for p in range(n)], dtype=np.int64)
-    chunks = max(1, math.ceil(common["n"] / chunk))
+    chunks = max(1, math.ceil(own["n"] / chunk))
 
     def replicate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         to_cell = names[:, 0]

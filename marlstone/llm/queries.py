@@ -157,7 +157,7 @@ WITH v AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0 AND len(q.e) = len(c.e)
 ), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
     AS rank FROM scored
