@@ -30,27 +30,35 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     """Hashed counts of a whole text's n-grams; None if it has no letter.
 
     Letters are lower-cased, and every run of other characters is one space. Very
-    long texts are counted in chunks.
+    long texts are counted in chunks; the last two letters and whether a run is open go
+    on into the next one, so that the size of the chunks changes nothing.
     """
     if not text:
         return None
     counts, some = np.zeros(BUCKETS), False
-    for at in range(0, len(text), CHUNK):
-        part = f" {text[at : at + CHUNK].lower()} "
-        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    whole = f" {text.lower()} "
+    carried, in_word = np.zeros(0, dtype=np.uint32), True
+    for at in range(0, len(whole), CHUNK):
+        part = whole[at : at + CHUNK].encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(part, dtype="<u4")
         known = _letters()[codes]
-        if not known.any():
-            continue
-        some = True
+        some |= bool(known.any())
+        # Of a run of other characters the first stays, as a space.
         kept = known.copy()
         kept[1:] |= known[:-1]
-        kept[0] = True
-        codes = np.where(known, codes, np.uint32(32))[kept]
+        kept[0] |= in_word
+        in_word = bool(known[-1])
+        codes = np.concatenate([carried, np.where(known, codes, np.uint32(32))[kept]])
         mixed = np.zeros(len(codes), dtype=np.uint32)
         for n in ORDERS:
+            if len(codes) < n:
+                break
             mixed = mixed[: len(codes) - n + 1] * np.uint32(1_000_003) + codes[n - 1 :] + np.uint32(n)
-            slots = (mixed * np.uint32(2_654_435_761)) >> np.uint32(32 - 13)
+            # What lies within the carried letters is counted already.
+            new = mixed[max(0, len(carried) - n + 1) :]
+            slots = (new * np.uint32(2_654_435_761)) >> np.uint32(32 - 13)
             counts += np.bincount(slots, minlength=BUCKETS)
+        carried = codes[-(ORDERS[-1] - 1) :]
     return counts if some else None
 
 

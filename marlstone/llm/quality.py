@@ -33,31 +33,41 @@ def subwords(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
     Words are runs between ASCII white space, in their own case, and give one slot
     each and one for each pair of neighbours; character n-grams are runs of 3 to 5
-    bytes of the words joined by single spaces.
+    bytes of the words joined by single spaces. An open word, the last word's hash and
+    the last four bytes go on into the next chunk, so that their size changes nothing.
     """
     data = (text or "").encode("utf-8", "surrogatepass")
+    rest, lead, before = b"", b" ", np.zeros(0, dtype=np.uint32)
     for at in range(0, len(data), CHUNK):
-        words = data[at : at + CHUNK].split()
+        rest += data[at : at + CHUNK]
+        end = len(rest)
+        if at + CHUNK < len(data):
+            end = 1 + max(rest.rfind(space) for space in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"))
+        words, rest = rest[:end].split(), rest[end:]
         if not words:
             continue
-        codes = np.frombuffer(b" " + b" ".join(words) + b" ", dtype=np.uint8).astype(np.uint32)
+        joined = b" ".join(words) + b" "
+        codes = np.frombuffer(joined, dtype=np.uint8).astype(np.uint32)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        starts = np.cumsum(lengths + 1) - lengths
-        place = np.arange(len(codes)) - np.repeat(
-            np.concatenate([[0], starts]), np.concatenate([[1], lengths + 1])
-        )
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        place = np.arange(len(codes)) - np.repeat(starts, lengths + 1)
         powers = _POWERS[place % len(_POWERS)]
         powers[starts + lengths] = 0
         whole = np.add.reduceat(codes * powers, starts, dtype=np.uint32)
-        pairs = _slots(whole[:-1] * _STEP + whole[1:] + np.uint32(1))
-        pairs[whole[:-1] == whole[1:]] = REPEATED
+        row = np.concatenate([before, whole])
+        pairs = _slots(row[:-1] * _STEP + row[1:] + np.uint32(1))
+        pairs[row[:-1] == row[1:]] = REPEATED
+        before = whole[-1:]
+        codes = np.concatenate([np.frombuffer(lead, dtype=np.uint8).astype(np.uint32), codes])
         grams, mixed = [], np.zeros(len(codes), dtype=np.uint32)
         for n in range(1, 6):
             if len(codes) < n:
                 break
             mixed = mixed[: len(codes) - n + 1] * _STEP + codes[n - 1 :]
             if n >= 3:
-                grams.append(_slots(mixed + np.uint32(n)))
+                # What lies within the carried bytes is counted already.
+                grams.append(_slots(mixed[0 if lead == b" " else max(0, len(lead) - n + 1) :] + np.uint32(n)))
+        lead = (lead + joined)[-4:]
         yield np.concatenate([_slots(whole), pairs]), np.concatenate(grams)
 
 

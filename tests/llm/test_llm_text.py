@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marlstone.llm import packing, quality, sharding, simhash
+from marlstone.llm import language, packing, quality, sharding, simhash
 from marlstone.llm.language import fit_languages, identify_languages, ngram_counts
 from marlstone.llm.licenses import license_scan, words_of
 from marlstone.llm.mixing import mix_sources, mixed_documents
@@ -452,6 +452,55 @@ def test_best_fit_equals_full_search():
         )
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 64, 1000])
+def test_chunks_leave_no_seams(given, monkeypatch, chunk):
+    """One long word, many short ones, and real texts count the same in chunks of any size."""
+    texts = [r["text"] for r in given.limit(20).collect()]
+    texts += ["é" * 3000, "ab " * 2000, "  x\t\ty \x0b", "Σίσυφος ΟΔΟΣ 12 ss", "", None, " . "]
+    whole = [(quality.features(t), language.ngram_counts(t)) for t in texts]
+    monkeypatch.setattr(quality, "CHUNK", chunk)
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    for text, (features, counts) in zip(texts, whole, strict=True):
+        if text and len(text) > 500 * chunk:
+            continue
+        again = quality.features(text)
+        assert all(np.array_equal(a, b) for a, b in zip(features, again, strict=True))
+        assert np.array_equal(counts, language.ngram_counts(text)) if counts is not None else language.ngram_counts(text) is None
+
+
+def test_a_word_of_millions_of_letters_is_one_word():
+    slots, weights = quality.features("a" * 1_200_000)
+    assert (slots < quality.SLOTS).sum() == 1
+    counts = language.ngram_counts("ab" * 1_500_000)
+    # Letters and the two spaces; pairs; triples.
+    assert counts.sum() == 3_000_002 + 3_000_001 + 3_000_000
+
+
+def test_best_fit_equals_full_search_for_many_sources_and_clusters():
+    """More of either than a machine word has bits."""
+    rng = np.random.default_rng(10)
+    sizes = -np.sort(-rng.integers(1, 200, 3000))
+    sources = np.where(rng.random(3000) < 0.33, 0, rng.integers(0, 200, 3000))
+    clusters = np.where(rng.random(3000) < 0.7, rng.integers(0, 500, 3000), -1)
+    bins, at = packing.best_fit(sizes, sources, clusters, 400)
+    assert list(zip(bins.tolist(), at.tolist(), strict=True)) == slow_best_fit(
+        sizes.tolist(), sources.tolist(), clusters.tolist(), 400
+    )
+
+
+def test_many_small_pieces_of_different_sources_share_a_bin(spark):
+    table = spark.createDataFrame([(i, "w " * 16 + str(i), f"s{i}") for i in range(120)], "doc_id long, text string, source string")
+    assert pack_documents(table, capacity=2048).select("bin").distinct().count() == 1
+
+
+def test_numbers_are_for_what_repeats():
+    import pandas as pd
+
+    got = packing.numbers_of(pd.Series([5, 7, 5, None, 9, 7, None], dtype="Int64"))
+    assert got[0] == got[2] >= 0 and got[1] == got[5] >= 0 and got[0] != got[1]
+    assert got[3] == got[4] == got[6] == -1
+
+
 @pytest.mark.parametrize("block", [20_000, 50])
 def test_packing_keeps_every_word_and_no_conflict(given, block):
     rows = pack_documents(given, capacity=512, block=block).collect()

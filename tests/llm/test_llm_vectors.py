@@ -134,7 +134,7 @@ def test_top_k_edges(spark):
     ids, vectors = zip(*EDGES, strict=True)
     got = top_k_inner_product(table_of(spark, vectors, ids), F.col("vec_id") % 2 == 0, k=20)
     rows = got.collect()
-    # Usable: 1, 2, 3, 10, 11, 12 of two components; 2, 10, 12 are queries.
+    # Usable: 1, 2, 3, 10, 11, 12 of two components; 2, 10, 12 are queries. 9 has one component.
     assert {r["query_id"] for r in rows} == {2, 10, 12}
     assert all(r["query_id"] != r["vec_id"] for r in rows)
     assert [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == 2] == [1, 10, 3, 12, 11]
@@ -143,6 +143,20 @@ def test_top_k_edges(spark):
     assert top_k_inner_product(odd, F.col("vec_id") % 2 == 0).count() == 0
 
 
+def test_top_k_of_every_length(spark):
+    """Each length among its own, the rarer ones too."""
+    rng = np.random.default_rng(4)
+    x = [rng.standard_normal(2 + i % 3 // 2 * 3 + (i >= 57)).astype(np.float32) for i in range(60)]
+    got = top_k_inner_product(table_of(spark, [v.tolist() for v in x]), F.col("vec_id") % 5 == 0, k=4)
+    want = set()
+    whole = [np.floor(64 * v.astype(np.float64)).astype(np.int64) for v in x]
+    for q in range(0, 60, 5):
+        scored = [(-int(whole[q] @ whole[i]), i) for i in range(60) if i != q and len(x[i]) == len(x[q])]
+        want |= {(q, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:4], 1)}
+    assert {tuple(r) for r in got.collect()} == want
+    assert len({len(v) for v in x}) == 4
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)]
     edges += [(60, 50), (50, 60), (70, 70), (None, 3), (-5, -9)]
