@@ -246,3 +246,16 @@ def parsed_gifts(t: Tables):
     text = F.replace(F.col("amount").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
     raw = t.gifts.withColumns({"amount": text, "date": F.date_format("date", "dd/MM/yyyy")})
     return plan.parse_gifts(raw).select("gift_id", "amount", F.col("date").cast("string").alias("day"))
+
+
+@QUERIES.add(
+    "engagement_estimates",
+    with_(GIFTS)
+    + """SELECT donorID, count(DISTINCT campaignID) AS campaign_engagement,
+           CAST(count(DISTINCT campaignID) AS DOUBLE)
+             / (SELECT count(DISTINCT campaignID) FROM gifts) AS donor_loyalty
+         FROM gifts GROUP BY donorID""",
+)
+def engagement_estimates(t: Tables):
+    """Sketches of each year, united; so few campaigns are counted exactly."""
+    return plan.engagement_estimates(plan.engagement_sketches(t.gifts, F.year("date").alias("year")))

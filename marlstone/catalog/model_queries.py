@@ -25,6 +25,7 @@ from marlstone.catalog.bindings import (
     PRODUCTS,
     REVIEWS,
     SELECTION,
+    TEXTS,
     Tables,
     with_,
 )
@@ -244,6 +245,48 @@ def word2vec_texts(t: Tables):
     return vectors.select("doc_id", F.size(vector_to_array("features")).alias("size"))
 
 
+def _letter_counts():
+    """A stand-in encoder: characters, two letters and blanks of each text."""
+
+    def encode(batch: np.ndarray) -> np.ndarray:
+        return np.array([[len(x), x.count("a"), x.count("e"), x.count(" ")] for x in batch], dtype="float64")
+
+    return encode
+
+
+_COUNTED = ", ".join(
+    f"CAST(length(clean_text) - length(replace(clean_text, '{c}', '')) AS INTEGER) AS {name}"
+    for c, name in (("a", "a"), ("e", "e"), (" ", "blanks"))
+)
+
+
+@QUERIES.add(
+    "encoded_texts",
+    with_(TEXTS) + f"SELECT doc_id, CAST(length(clean_text) AS INTEGER) AS characters, {_COUNTED} FROM texts",
+)
+def encoded_texts(t: Tables):
+    """Vectors of a user's encoder, entry by entry."""
+    vectors = models.embed_rows(t.texts.select("doc_id", "clean_text"), "clean_text", _letter_counts, 4)
+    entries = vectors.select("doc_id", vector_to_array("features").alias("v"))
+    names = ("characters", "a", "e", "blanks")
+    return entries.select("doc_id", *[F.get("v", F.lit(i)).cast("int").alias(n) for i, n in enumerate(names)])
+
+
+@QUERIES.add(
+    "open_category_index",
+    """SELECT l_orderkey, l_linenumber, CAST(coalesce(rank, (SELECT count(DISTINCT l_partkey) FROM lineitem
+           WHERE l_orderkey % 100 < 70)) AS DOUBLE) AS part_index
+       FROM lineitem LEFT JOIN (
+         SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS rank
+         FROM lineitem WHERE l_orderkey % 100 < 70 GROUP BY l_partkey) USING (l_partkey)""",
+)
+def open_category_index(t: Tables):
+    """A category with thousands of values, numbered without a dictionary on the driver."""
+    lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    train, _ = sampling.split_by_modulo(lines, "l_orderkey", 70)
+    return scaling.index_by_frequency(train, lines, "part", "part_index", "keep").drop("part")
+
+
 @QUERIES.add(
     "relevant_texts",
     "SELECT TRUE AS relevant, TRUE AS known, count(*) > 0 AS once FROM documents",

@@ -21,6 +21,7 @@ from marlstone.operators.grouping import latest_per_key, with_group_count, with_
 from marlstone.operators.profile import value_counts
 from marlstone.functions.numbers import exact_sum, map_classes, rounded_sum
 from marlstone.plans import orders as plan
+from marlstone.session import scratch_path
 
 QUERIES = Registry()
 
@@ -251,6 +252,15 @@ def order_basetable(t: Tables):
     return base.drop(*_TIMESTAMPS)
 
 
+@QUERIES.add("bucketed_basetable", QUERIES["order_basetable"].sql)
+def bucketed_basetable(t: Tables):
+    """The base table from subjects stored in buckets of the order."""
+    path = scratch_path(t.spark, "subjects")
+    name = path.rpartition("/")[2].replace("-", "_")
+    stored = plan.store_subjects(t.orders, t.items, t.products, t.payments, t.reviews, name, 8, path)
+    return plan.basetable_of_subjects(stored).drop(*_TIMESTAMPS)
+
+
 @QUERIES.add(
     "holdout_basetable",
     with_(ITEMS, PRODUCTS, PAYMENTS, ORDERS, ITEM_FEATURES, PAYMENT_FEATURES, DELIVERY_FEATURES)

@@ -76,6 +76,28 @@ def article_text_field(t: Tables):
     return t.raw("events").select("event_id", extract_field(mixed, "k").alias("extracted"))
 
 
+@QUERIES.add(
+    "brace_texts",
+    """SELECT event_id, CASE WHEN json_valid(x) AND json_type(x) = 'OBJECT'
+         THEN coalesce(json_extract_string(x, '$.k'), '') ELSE x END AS extracted
+       FROM (SELECT event_id, CASE event_id % 6 WHEN 0 THEN '{' || event_type || '} news today'
+           WHEN 1 THEN props || ' trailing' WHEN 2 THEN '{' WHEN 3 THEN event_type
+           WHEN 4 THEN '  {"other": 1}' ELSE props END AS x FROM events)""",
+)
+def brace_texts(t: Tables):
+    """Objects, and plain texts that begin with a brace."""
+    kind, name = F.col("event_id") % 6, F.col("event_type")
+    mixed = (
+        F.when(kind == 0, F.concat(F.lit("{"), name, F.lit("} news today")))
+        .when(kind == 1, F.concat("props", F.lit(" trailing")))
+        .when(kind == 2, "{")
+        .when(kind == 3, name)
+        .when(kind == 4, '  {"other": 1}')
+        .otherwise(F.col("props"))
+    )
+    return t.raw("events").select("event_id", extract_field(mixed, "k").alias("extracted"))
+
+
 @QUERIES.add(
     "array_length_match",
     with_(NEWS)

@@ -116,9 +116,18 @@ def normalize(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> C
 
 
 def extract_field(json_or_text: Column, name: str) -> Column:
-    """The named field of a JSON object ('' where it lacks the field), else the text itself."""
-    is_object = F.ltrim(json_or_text).startswith("{")
-    field = F.coalesce(F.get_json_object(json_or_text, f"$.{name}"), F.lit(""))
+    """The named field of a JSON object ('' where it lacks the field), else the text itself.
+
+    Only what parses as a JSON object is one: a text that merely begins with a brace stays.
+    """
+    looks_so = json_or_text.rlike(r"^\s*\{")
+    # The parser stops after the first value. In an array before a number of the text's
+    # own, the text is a single object just where that number is the second entry.
+    mark = F.xxhash64(json_or_text)
+    wrapped = F.concat(F.lit("["), json_or_text, F.lit(","), mark.cast("string"), F.lit("]"))
+    record = F.when(looks_so, F.try_parse_json(wrapped))
+    is_object = F.coalesce(F.try_variant_get(record, "$[1]", "bigint") == mark, F.lit(False))
+    field = F.coalesce(F.try_variant_get(record, f"$[0]['{name}']", "string"), F.lit(""))
     return F.when(is_object, field).otherwise(json_or_text)
 
 

@@ -44,7 +44,9 @@ def first_per_key(df: DataFrame, key: str, order: str, ties: Sequence[str] = ())
 def _pick(df: DataFrame, key: str, order: Sequence[str], by) -> DataFrame:
     row = F.struct(*df.columns)
     picked = df.groupBy(F.col(key).alias("_key")).agg(by(row, F.struct(*order)).alias("_row"))
-    return picked.select("_row.*")
+    # The key itself, by which the result is partitioned, not its copy in the row.
+    columns = {c: F.col("_key") if c == key else F.col("_row")[c] for c in df.columns}
+    return picked.select(*[value.alias(c) for c, value in columns.items()])
 
 
 def ratio_of_groups(

@@ -367,6 +367,29 @@ def embed_text(df: DataFrame, words: str = "words", method: str = "tfidf", size:
     return text_embedder(method, size, words).fit(df).transform(df).drop("_counts", "_weights")
 
 
+def embed_rows(
+    df: DataFrame,
+    col: str,
+    make_encoder: Callable,
+    size: int,
+    out: str = "features",
+    batch_size: int = 32,
+) -> DataFrame:
+    """A vector column from a user-supplied encoder (batch of texts to (batch, size) numbers).
+
+    ``make_encoder`` builds the encoder once per Python worker, such as a loaded
+    transformer; it runs on Arrow batches of ``batch_size`` texts, and null texts reach it
+    as ''. Vectors of another length fail the query. The column fits every estimator here.
+    """
+    encode = predict_batch_udf(
+        make_encoder, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size
+    )
+    vectors = df.withColumn("_vector", encode(F.coalesce(F.col(col), F.lit(""))))
+    wrong = F.raise_error(F.lit(f"the encoder's vectors must have {size} numbers")).cast("array<double>")
+    checked = F.when(F.size("_vector") == size, F.col("_vector")).otherwise(wrong)
+    return vectors.withColumn(out, array_to_vector(checked)).drop("_vector")
+
+
 def classify_text(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Texts a fitted classifier finds relevant, with their probability."""
     scored = model.transform(df)

@@ -111,3 +111,32 @@ def index_labels(df: DataFrame, col: str, out: str = "class_index") -> DataFrame
     numbered = row_numbers(labels, [], ["_label"], "_number")
     codes = numbered.select("_label", (F.col("_number") - 1).cast("int").alias(out))
     return df.join(codes, F.col(col) == F.col("_label"), "left").drop("_label")
+
+
+def index_by_frequency(
+    train: DataFrame, df: DataFrame, col: str, out: str, handle_invalid: str = "error"
+) -> DataFrame:
+    """Add the zero-based place of each category by falling frequency in ``train`` (ties by value).
+
+    The numbers of StringIndexer, for categories of any number: they are counted, numbered
+    in range partitions and joined back, and none of them reaches the driver. Categories
+    that ``train`` lacks, nulls too, fail the query (``error``), get the number after the
+    last (``keep``) or lose their rows (``skip``).
+    """
+    if handle_invalid not in ("error", "keep", "skip"):
+        raise ValueError(f"unknown handling: {handle_invalid!r}")
+    counts = train.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_label")).agg(
+        (-F.count(F.lit(1))).alias("_rarity")
+    )
+    numbered = row_numbers(counts, [], ["_rarity", "_label"], "_number")
+    codes = numbered.select("_label", (F.col("_number") - 1).cast("double").alias(out))
+    same = F.col(col) == F.col("_label")
+    if handle_invalid == "skip":
+        return df.join(codes, same).drop("_label")
+    if handle_invalid == "keep":
+        other = codes.agg(F.count(F.lit(1)).cast("double")).scalar()
+    else:
+        unknown = F.concat(F.lit(f"unknown {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("null")))
+        other = F.raise_error(unknown).cast("double")
+    joined = df.join(codes, same, "left").drop("_label")
+    return joined.withColumn(out, F.coalesce(out, other))

@@ -7,7 +7,13 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.functions.text import CLIMATE_ASPECTS, SENTIMENT_LABELS, normalize, tag_aspects
+from marlstone.functions.text import (
+    CLIMATE_ASPECTS,
+    SENTIMENT_LABELS,
+    SPECIFICITY_LABELS,
+    normalize,
+    tag_aspects,
+)
 from marlstone.operators.models import score_rows
 from marlstone.operators.text_ops import (
     aspect_sentiment_by_entity,
@@ -18,10 +24,6 @@ from marlstone.operators.text_ops import (
     lexicon_sentiment,
 )
 
-#: Answers of a specificity scorer, by class.
-SPECIFIC = {0: "no", 1: "yes"}
-
-
 def labelled_texts(news: DataFrame, wanted: str) -> DataFrame:
     """(entity, text) of the articles with the wanted label, a row per article.
 
@@ -76,7 +78,7 @@ def classified_aspects(
     clean = texts.withColumn("clean_text", normalize(F.col("text")))
     kept = relevant(clean.withColumn("words", F.split("clean_text", " ")))
     kept = kept.select(key, "entity", "text", "clean_text")
-    scored = score_rows(kept, "text", specificity, SPECIFIC, "specific")
+    scored = score_rows(kept, "text", specificity, SPECIFICITY_LABELS, "specific")
     scored = score_rows(scored, "text", stance, stances, "sentiment_label")
     marks = ["entity", "specific", "sentiment_label"]
     words = F.split("clean_text", " ")

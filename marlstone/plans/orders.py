@@ -3,12 +3,15 @@ and review features."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.dates import days_between, whole_days
 from marlstone.functions.numbers import bucketize, map_classes, product, rounded_sum
 from marlstone.operators.grouping import latest_per_key
+from marlstone.sources.files import write_bucketed
 
 # --- fixed values: bucket edges and label classes ------------------------------
 DESCRIPTION_SPLITS = [3.0, 350.0, 600.0, 985.0, 4000.0]
@@ -47,7 +50,16 @@ def item_features(items: DataFrame, products: DataFrame, outside: str = "extend"
     with no complete line drops out. One aggregation by order: the totals need
     no pass of their own. The category is that of the first line.
     """
-    lines = items.join(products, "product_id", "left")
+    return line_features(item_lines(items, products), outside)
+
+
+def item_lines(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines with the columns of their product, where there is one."""
+    return items.join(products, "product_id", "left")
+
+
+def line_features(lines: DataFrame, outside: str = "extend") -> DataFrame:
+    """``item_features`` of lines that already have their product columns."""
     present = F.lit(True)
     for c in lines.columns:
         present = present & F.col(c).isNotNull()
@@ -167,6 +179,48 @@ def order_basetable(
     return with_labels(build_basetable("order_id", *subjects, latest_reviews(reviews)))
 
 
+#: The subjects of the base table, as ``store_subjects`` names them.
+SUBJECTS = ("orders", "lines", "payments", "reviews")
+
+
+def store_subjects(
+    orders: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    name: str,
+    buckets: int,
+    path: str | None = None,
+) -> dict[str, DataFrame]:
+    """The four subjects as tables ``<name>_<subject>``, bucketed by order.
+
+    Lines take their product columns along, so that nothing after this is joined by
+    another key. For base tables that are built more than once from the same orders:
+    one shuffle of each subject here saves one in every later run. ``buckets`` should
+    make files of some 100 to 200 MB.
+    """
+    given = dict(zip(SUBJECTS, (orders, item_lines(items, products), payments, reviews), strict=True))
+    return {
+        subject: write_bucketed(
+            df, f"{name}_{subject}", "order_id", buckets, None if path is None else f"{path}/{subject}"
+        )
+        for subject, df in given.items()
+    }
+
+
+def basetable_of_subjects(subjects: Mapping[str, DataFrame]) -> DataFrame:
+    """``order_basetable`` from stored subjects: grouped and joined bucket by bucket."""
+    base = build_basetable(
+        "order_id",
+        delivery_features(subjects["orders"]),
+        payment_features(subjects["payments"]),
+        line_features(subjects["lines"]),
+        latest_reviews(subjects["reviews"]),
+    )
+    return with_labels(base)
+
+
 def model_view(base: DataFrame, label: str | None = "binary_label", keep=()) -> DataFrame:
     """Only what a model may see: features, one label (or none) and columns to keep."""
     labels = {"multiclass_label", "binary_label"} - {label}

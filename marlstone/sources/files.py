@@ -56,3 +56,17 @@ def write_report(tables: Mapping[str, DataFrame], path: str) -> None:
     """Each named table as JSON lines below ``path``."""
     for name, df in tables.items():
         df.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store ``df`` as a table in ``buckets`` files by the hash of ``key``; returns the table.
+
+    Tables with the same key and number of buckets are joined and grouped by the key
+    without a shuffle. The rows are dealt before writing, so each bucket is one file,
+    written by one task. ``path`` puts the files elsewhere than in the warehouse.
+    """
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)

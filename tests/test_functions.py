@@ -122,3 +122,16 @@ def test_extract_field(spark):
     assert column(spark, text.extract_field(F.lit('{"description": "a"}'), "description")) == "a"
     assert column(spark, text.extract_field(F.lit('{"title": "a"}'), "description")) == ""
     assert column(spark, text.extract_field(F.lit("plain"), "description")) == "plain"
+
+
+def test_extract_field_keeps_texts_that_begin_with_a_brace(spark):
+    def extracted(value):
+        return column(spark, text.extract_field(F.lit(value), "description"))
+
+    for plain in ("{breaking} news today", "{", '{"description": "a"} trailing', '{"description": }', '{"description": "a"}, {}', '{"description": "a"}] [', " {x}", "[1]", '"a"'):
+        assert extracted(plain) == plain
+    assert extracted(' \n{"description": "a", "other": {"b": 1}}') == "a"
+    assert extracted('{"description": null}') == "" and extracted("{}") == ""
+    assert extracted('{"description": 12}') == "12"
+    assert column(spark, text.extract_field(F.lit(None).cast("string"), "description")) is None
+    assert column(spark, text.extract_field(F.lit('{"a b": "x"}'), "a b")) == "x"

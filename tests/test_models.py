@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from marlstone.operators import evaluate, models
+from marlstone.operators import evaluate, models, scaling
 from marlstone.session import scratch_path
 
 
@@ -153,3 +153,43 @@ def test_forecast_of_a_line_is_exact(spark):
 def test_vectors_from_arrays(spark):
     df = spark.createDataFrame([([0.5, 0.25],)], "v array<double>")
     assert df.select(array_to_vector("v").alias("x")).first()["x"].toArray().tolist() == [0.5, 0.25]
+
+
+def test_vectors_of_a_users_encoder_feed_a_classifier(spark):
+    def _lengths():
+        import numpy as np
+
+        return lambda batch: np.array([[len(x), x.count("a")] for x in batch], dtype="float64")
+
+    rows = [(i, "a" * (i % 7) + "b" if i % 2 else "b" * (i % 5), float(i % 2)) for i in range(100)]
+    df = spark.createDataFrame([*rows, (100, None, 0.0), (101, "", 0.0)], "id long, t string, label double")
+    vectors = models.embed_rows(df, "t", _lengths, 2, batch_size=8)
+    by = {r["id"]: r["features"].toArray().tolist() for r in vectors.collect()}
+    assert by[7] == [1.0, 0.0] and by[9] == [3.0, 2.0] and by[100] == by[101] == [0.0, 0.0]
+    assert accuracy(models.logistic(102).fit(vectors).transform(vectors)) > 0.7
+    with pytest.raises(Exception, match="must have 3 numbers"):
+        models.embed_rows(df, "t", _lengths, 3).collect()
+
+
+def test_open_categories_are_numbered_by_frequency(spark):
+    rows = [(c,) for c, n in (("b", 3), ("a", 3), ("c", 5), ("é", 1)) for _ in range(n)]
+    train = spark.createDataFrame(rows, "c string")
+    other = spark.createDataFrame([("a",), ("c",), ("new",), (None,)], "c string")
+    got = {r["c"]: r["i"] for r in scaling.index_by_frequency(train, other, "c", "i", "keep").collect()}
+    assert got == {"a": 1.0, "c": 0.0, "new": 4.0, None: 4.0}
+    assert scaling.index_by_frequency(train, other, "c", "i", "skip").count() == 2
+    with pytest.raises(Exception, match="unknown c: "):
+        scaling.index_by_frequency(train, other, "c", "i").collect()
+    spark_own = models.encode_categories(train, train, ["c"]).select("c", "c_index").distinct().collect()
+    own = scaling.index_by_frequency(train, train, "c", "i").select("c", "i").distinct().collect()
+    assert {tuple(r) for r in own} == {tuple(r) for r in spark_own}
+
+
+def test_a_million_categories(spark):
+    """One of them holds a third of all rows."""
+    ids = spark.range(1_500_000)
+    df = ids.select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).cast("string").alias("c"))
+    got = scaling.index_by_frequency(df, df, "c", "i").agg(
+        F.countDistinct("i"), F.max("i"), F.count_if((F.col("c") == "-1") & (F.col("i") == 0))
+    )
+    assert tuple(got.first()) == (1_000_001, 1_000_000.0, 500_000)

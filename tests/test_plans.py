@@ -187,6 +187,42 @@ def test_payment_features_need_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_stored_subjects_are_grouped_and_joined_without_a_shuffle(spark):
+    """Nothing is exchanged between the scans and the joins, even where nothing is broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    try:
+        df = all_queries()["bucketed_basetable"](spark, SF)
+        plan = plan_of(df)
+        assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 3
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        rows = df.collect()
+    finally:
+        spark.conf.unset(name)
+    want = all_queries()["order_basetable"](spark, SF)
+    assert sorted(rows, key=str) == sorted(want.select(df.columns).collect(), key=str)
+
+
+def test_engagement_sketches_keep_to_their_bound(spark):
+    """Campaigns that come back in several parts count once; a donor with a third of all rows."""
+    gifts = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 10 + 1).alias("donorID"),
+        (F.col("id") * 7 % 20_000).cast("string").alias("campaignID"),
+        (F.col("id") % 4).alias("part"),
+    )
+    exact = {r[0]: r[1] for r in gifts.groupBy("donorID").agg(F.countDistinct("campaignID")).collect()}
+    sketches = donors.engagement_sketches(gifts, F.col("part"))
+    got = {r["donorID"]: r for r in donors.engagement_estimates(sketches).collect()}
+    assert set(got) == set(exact)
+    for donor, n in exact.items():
+        # Four standard deviations.
+        assert abs(got[donor]["campaign_engagement"] - n) <= 4 * 1.04 / 64 * n + 1
+    few = gifts.limit(40)
+    small = {r[0]: r[1] for r in few.groupBy("donorID").agg(F.countDistinct("campaignID")).collect()}
+    found = donors.engagement_estimates(donors.engagement_sketches(few)).collect()
+    assert {r["donorID"]: r["campaign_engagement"] for r in found} == small
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(all_queries()["urgent_orders"](spark, SF))
     assert "PushedFilters: [In(o_orderpriority" in plan
