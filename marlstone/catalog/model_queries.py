@@ -39,7 +39,7 @@ from marlstone.catalog.order_queries import (
 )
 from marlstone.catalog.registry import Registry
 from marlstone.functions.text import SENTIMENT_LABELS
-from marlstone.operators import evaluate, models, sampling, scaling, tuning
+from marlstone.operators import evaluate, models, sampling, scaling, stepwise, tuning
 from marlstone.plans import donors as donor_plan
 from marlstone.plans import orders as order_plan
 from marlstone.session import scratch_path, stable
@@ -382,7 +382,7 @@ _HALF = len(donor_plan.feature_names(donor_levels())) // 2
 def selected_donor_features(t: Tables):
     """Half of all features, one by one."""
     table = _campaign(t, CAMPAIGN)
-    picked = models.forward_select(table, _donor_features(table), "target", key="donorID")
+    picked = stepwise.forward_select(table, _donor_features(table), "target", key="donorID")
     names = [name for name, _ in picked]
     rows = [(i, names.count(name) == 1, 0.0 <= auc <= 1.0) for i, (name, auc) in enumerate(picked, 1)]
     return t.spark.createDataFrame(rows, "step int, own boolean, valid boolean")
@@ -395,7 +395,7 @@ def selected_donor_features(t: Tables):
 def donor_scores(t: Tables):
     """Boosted trees on the features selected on one campaign, tested on a later one."""
     train, test = _campaign(t, CAMPAIGN), _campaign(t, LATER_CAMPAIGN)
-    picked = models.forward_select(train, _donor_features(train), "target", key="donorID")
+    picked = stepwise.forward_select(train, _donor_features(train), "target", key="donorID")
     selected = [name for name, _ in picked]
     scaler = scaling.Standardizer.fit(train, selected)
 

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -38,7 +35,7 @@ from pyspark.sql import types as T
 
 from marlstone.functions.numbers import argmax, map_values, positive_probability, softmax
 from marlstone.operators.ordered import lag_sequences, split_chronological
-from marlstone.operators.scaling import MinMaxScaler, Standardizer
+from marlstone.operators.scaling import MinMaxScaler
 from marlstone.session import stable
 
 # --- encoding and assembling ---------------------------------------------------
@@ -185,95 +182,6 @@ def grid_results(model: CrossValidatorModel) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "params string, metric double, is_best boolean")
 
 
-def forward_select(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str = "label",
-    k: int | None = None,
-    folds: int = 5,
-    key: str | None = None,
-    c: float = 1.0,
-    sample_rows: int = 20_000,
-) -> list[tuple[str, float]]:
-    """Greedy forward selection by cross-validated AUC: (feature, AUC so far).
-
-    Half of the features by default. Each candidate is judged by a class-balanced
-    logistic regression with inverse penalty strength ``c`` on standardised
-    columns; nulls count as the column's mean. Means and deviations come from all
-    rows. The judging uses at most about ``sample_rows`` of them, picked by a hash of
-    the key: that bounds what every task holds, and the candidates of a step are
-    judged by as many tasks at once. Ties go to the earlier feature.
-    """
-    k = len(features) // 2 if k is None else k
-    spark, seed = df.sparkSession, [F.col(key)] if key else [F.col(x) for x in df.columns]
-    rows = df.count()
-    draw = F.pmod(F.xxhash64(F.lit(1), *seed), F.lit(1_000_000))
-    fold = F.pmod(F.xxhash64(*seed), F.lit(folds)).cast("int")
-    scaled = Standardizer.fit(df, features).transform(df)
-    some = scaled.where(draw < math.ceil(1_000_000 * min(1.0, sample_rows / max(rows, 1))))
-    columns = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)]
-    held = some.select(F.col(label).cast("double").alias("y"), fold.alias("fold"), *columns).toPandas()
-    table = spark.sparkContext.broadcast(
-        (held["y"].to_numpy(), held["fold"].to_numpy(), held.iloc[:, 2:].to_numpy())
-    )
-
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        y, part, x = table.value
-        for pdf in frames:
-            scores = [cross_validated_auc(x[:, chosen], y, part, folds, c) for chosen in pdf["chosen"]]
-            yield pd.DataFrame({"candidate": pdf["candidate"], "auc": scores})
-
-    picked: list[tuple[int, float]] = []
-    left = list(range(len(features)))
-    while left and len(picked) < k:
-        chosen = [f for f, _ in picked]
-        candidates = spark.createDataFrame([(f, [*chosen, f]) for f in left], "candidate int, chosen array<int>")
-        judged = candidates.repartition(min(len(left), 64)).mapInPandas(judge, "candidate int, auc double")
-        # One row per candidate.
-        best = max(judged.collect(), key=lambda r: (r["auc"], -r["candidate"]))
-        picked.append((best["candidate"], best["auc"]))
-        left.remove(best["candidate"])
-    return [(features[f], score) for f, score in picked]
-
-
-def cross_validated_auc(
-    x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int, c: float
-) -> float:
-    """Mean held-out AUC of a class-balanced logistic regression; folds of one class are left out."""
-    scores = []
-    for i in range(folds):
-        train, test = fold != i, fold == i
-        if len(np.unique(y[train])) == 2 and len(np.unique(y[test])) == 2:
-            scores.append(_rank_auc(x[test] @ _logistic_weights(x[train], y[train], c), y[test]))
-    return float(np.mean(scores)) if scores else 0.5
-
-
-def _logistic_weights(x: np.ndarray, y: np.ndarray, c: float, rounds: int = 12) -> np.ndarray:
-    """Newton steps for a ridge-penalised logistic regression; the intercept isn't penalised."""
-    share = y.mean()
-    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
-    full = np.column_stack([x, np.ones(len(x))])
-    penalty = np.full(full.shape[1], 1.0 / c)
-    penalty[-1] = 1e-9
-    beta = np.zeros(full.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(full @ beta, -30, 30)))
-        gradient = full.T @ (weight * (p - y)) + penalty * beta
-        curve = (full * (weight * p * (1 - p))[:, None]).T @ full + np.diag(penalty)
-        step = np.linalg.solve(curve, gradient)
-        beta -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return beta[:-1]
-
-
-def _rank_auc(score: np.ndarray, y: np.ndarray) -> float:
-    ranks = pd.Series(score).rank().to_numpy()
-    positives = y == 1
-    n, m = positives.sum(), (~positives).sum()
-    return float((ranks[positives].sum() - n * (n + 1) / 2) / (n * m))
-
-
 # --- scoring and explaining ----------------------------------------------------
 
 

@@ -2,13 +2,15 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from marlstone.operators import evaluate, models, scaling
+from marlstone.operators import evaluate, models, scaling, stepwise
 from marlstone.session import scratch_path
 
 
@@ -64,18 +66,72 @@ def test_grid_search_covers_the_grid(points):
 
 
 def test_forward_selection_picks_the_telling_column_first(points):
-    picked = models.forward_select(points.drop("features"), ["y", "x"], k=2, folds=2, key="id")
+    picked = stepwise.forward_select(points.drop("features"), ["y", "x"], k=2, folds=2, key="id")
     assert [name for name, _ in picked] == ["x", "y"]
     assert picked[0][1] > 0.9
 
 
 def test_forward_selection_takes_half_of_the_features(points):
     table = points.drop("features").withColumns({"z": F.col("x") * 0 + 1.0, "w": F.col("y") * 2})
-    picked = models.forward_select(table, ["w", "x", "y", "z"], folds=3, key="id")
+    picked = stepwise.forward_select(table, ["w", "x", "y", "z"], folds=3, key="id")
     assert [name for name, _ in picked][0] == "x" and len(picked) == 2
     assert all(0.0 <= auc <= 1.0 for _, auc in picked)
 
 
+def plain_auc(x, y, fold, folds, c):
+    """Mean held-out AUC of plainly fitted models, by ranks."""
+    scores = []
+    for at in range(folds):
+        train, test = fold != at, fold == at
+        if len(np.unique(y[train])) < 2 or len(np.unique(y[test])) < 2:
+            continue
+        full = np.column_stack([x, np.ones(len(x))])
+        weight = np.where(y[train] == 1, 0.5 / y[train].mean(), 0.5 / (1 - y[train].mean()))
+        penalty = np.append(np.full(x.shape[1], 1 / c), 1e-9)
+        beta = np.zeros(full.shape[1])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-full[train] @ beta))
+            slope = full[train].T @ (weight * (p - y[train])) + penalty * beta
+            curve = (full[train] * (weight * p * (1 - p))[:, None]).T @ full[train] + np.diag(penalty)
+            beta -= np.linalg.solve(curve, slope)
+        ranks, positive = pd.Series(full[test] @ beta).rank().to_numpy(), y[test] == 1
+        n, m = positive.sum(), (~positive).sum()
+        scores.append((ranks[positive].sum() - n * (n + 1) / 2) / (n * m))
+    return float(np.mean(scores)) if scores else 0.5
+
+
+def test_forward_selection_equals_plain_fits(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 6)) * [1, 5, 0.1, 2, 1, 1] + [0, 3, 9, 0, 0, 0]
+    y = (x[:, 1] / 5 + 8 * x[:, 2] + 0.5 * x[:, 4] - 72.6 + rng.logistic(size=900) > 1).astype(float)
+    names = [f"f{i}" for i in range(6)]
+    rows = [(i, float(y[i]), *map(float, x[i])) for i in range(900)]
+    schema = "id long, label double, " + ", ".join(f"{n} double" for n in names)
+    df = spark.createDataFrame([*rows, (900, None, *[1e6] * 6)], schema).repartition(5)
+    folds = {r[0]: r[1] for r in df.select("id", F.pmod(F.xxhash64("id"), F.lit(3)).cast("int")).collect()}
+    fold = np.array([folds[i] for i in range(900)])
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    want, left = [], list(range(6))
+    for _ in range(4):
+        chosen = [f for f, _ in want]
+        scores = {f: plain_auc(z[:, [*chosen, f]], y, fold, 3, 1.0) for f in left}
+        best = max(left, key=lambda f: (scores[f], -f))
+        want.append((best, scores[best]))
+        left.remove(best)
+    picked = stepwise.forward_select(df, names, k=4, folds=3, key="id", bins=1 << 16)
+    assert [n for n, _ in picked] == [names[f] for f, _ in want]
+    assert [a for _, a in picked] == pytest.approx([a for _, a in want], abs=1e-4)
+    monkeypatch.setattr(stepwise, "SUM_BYTES", 1)
+    assert stepwise.forward_select(df, names, k=2, folds=3, key="id", bins=1 << 16) == picked[:2]
+
+
+def test_forward_selection_without_usable_folds(spark):
+    rows = [(i, 1.0, float(i), None) for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, label double, a double, b double")
+    assert stepwise.forward_select(df, ["a", "b"], k=2, folds=2, key="id") == [("a", 0.5), ("b", 0.5)]
+    assert stepwise.forward_select(df.limit(0), ["a"], k=1, folds=2, key="id") == [("a", 0.5)]
+
+
 def test_search_reaches_pipeline_stages_and_refits_the_best(spark):
     texts = [(i, ["wind", "solar"] if i % 2 else ["court", "goal"], float(i % 2)) for i in range(60)]
     df = spark.createDataFrame(texts, "id long, words array<string>, label double").coalesce(1)
