@@ -50,6 +50,13 @@ def needed(size: int, threshold: float) -> int:
     return math.ceil(threshold * size - 1e-9)
 
 
+def windows(lengths: list[int], window: int) -> list[int]:
+    """For each template of so many words the words in its blocks: twice as many, by doublings of ``window``."""
+    if window < 2:
+        raise ValueError("a window needs two words or more")
+    return [window * (1 << max(0, math.ceil(math.log2(max(2 * n, 1) / window)))) for n in lengths]
+
+
 class _Phrases:
     """Places of word sequences, found from their last word."""
 
@@ -92,13 +99,14 @@ def license_scan(
 
     The template part is an exact set-similarity join. Blocks are runs of
     ``window`` words, half a window apart, so every run of up to half a window lies
-    in a block whole. A block matches a template if it contains at least
+    in a block whole. Templates longer than half of it, such as whole license texts, are
+    sought in blocks of twice, four times, ... as many words (``windows``). A block matches a template if it contains at least
     ``threshold`` of the template's distinct words, ceil(threshold * size) of them.
     Words are ordered by their number of places in all of ``docs``, rarest first,
     and:
 
     * length filter: a block has at least the words a template needs; words that no
-      template has can't be in an overlap, so blocks are cut to the templates'
+      template of its window has can't be in an overlap, so blocks are cut to the templates'
       vocabulary first;
     * prefix filter: if a block and a template share t words, the template's first
       size - t + 1 words and the block's first size - t + 1 words share one. Block
@@ -112,21 +120,26 @@ def license_scan(
     may repeat or be null; an empty table gives an empty table; other columns are
     not read.
     """
-    if any(len(words_of(text)) > window // 2 for _, text in templates):
-        raise ValueError("a template is longer than half a window")
+    spans = windows([len(words_of(text)) for _, text in templates], window)
     names = [(i, label, sorted(set(words_of(text)))) for i, (label, text) in enumerate(templates)]
     need = {i: needed(len(words), threshold) for i, _, words in names}
     rank = _frequency_order(
         docs.select(F.col(text_col).cast("string").alias("t")),
         {w for _, _, words in names for w in words},
     )
-    least = min(need.values())
+    # For each window: the ranks of its templates' words, and the least words one of them needs.
+    kinds = {
+        span: (
+            {rank[w] for i, _, words in names if spans[i] == span for w in words if w in rank},
+            min(need[i] for i in need if spans[i] == span),
+        )
+        for span in sorted(set(spans))
+    }
     spotter = _Phrases(phrases)
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        step = window // 2
         for pdf in frames:
-            columns = ("n_words", "n_base", "first_word", "last_word", "base", "blocks")
+            columns = ("n_words", "n_base", "first_word", "last_word", "base", "spans", "blocks")
             out: dict[str, list] = {c: [] for c in columns}
             for text in pdf["t"]:
                 words = words_of(text)
@@ -138,13 +151,20 @@ def license_scan(
                 out["base"].append(sorted(labels))
                 # Places of vocabulary words, as (position, rank).
                 known = [(p, r) for p, r in enumerate(map(rank.get, words)) if r is not None]
-                blocks: dict[int, set[int]] = {}
-                for p, r in known:
-                    b = p // step
-                    blocks.setdefault(b, set()).add(r)
-                    if b:
-                        blocks.setdefault(b - 1, set()).add(r)
-                out["blocks"].append([sorted(b) for b in blocks.values() if len(b) >= least])
+                found = []
+                for span, (own, least) in kinds.items():
+                    step = span // 2
+                    blocks: dict[int, set[int]] = {}
+                    for p, r in known:
+                        if r not in own:
+                            continue
+                        b = p // step
+                        blocks.setdefault(b, set()).add(r)
+                        if b:
+                            blocks.setdefault(b - 1, set()).add(r)
+                    found += [(span, sorted(b)) for b in blocks.values() if len(b) >= least]
+                out["spans"].append([span for span, _ in found])
+                out["blocks"].append([b for _, b in found])
             yield pd.DataFrame(
                 {
                     "_id": pdf["_id"],
@@ -153,6 +173,7 @@ def license_scan(
                     "first_word": pd.array(out["first_word"], dtype="Int64"),
                     "last_word": pd.array(out["last_word"], dtype="Int64"),
                     "base": out["base"],
+                    "spans": out["spans"],
                     "blocks": out["blocks"],
                 }
             )
@@ -163,23 +184,24 @@ def license_scan(
         read.mapInPandas(
             scan,
             f"_id {kind}, n_words long, n_base long, first_word long, last_word long, "
-            "base array<string>, blocks array<array<int>>",
+            "base array<string>, spans array<int>, blocks array<array<int>>",
         ).withColumn("_row", F.monotonically_increasing_id())
     )
     spark = docs.sparkSession
     ordered = [(i, label, sorted(rank[w] for w in words)) for i, label, words in names]
     prefixes = spark.createDataFrame(
         [
-            (i, label, words, need[i], at, words[at])
+            (i, label, words, need[i], spans[i], at, words[at])
             for i, label, words in ordered
             for at in range(len(words) - need[i] + 1)
         ],
-        "template int, label string, words array<int>, need int, i int, word int",
+        "template int, label string, words array<int>, need int, span int, i int, word int",
     )
-    blocks = scanned.select("_row", F.posexplode("blocks").alias("block", "own"))
-    tokens = blocks.select("_row", "block", "own", F.posexplode("own").alias("j", "word"))
+    blocks = scanned.select("_row", "spans", F.posexplode("blocks").alias("block", "own"))
+    blocks = blocks.withColumn("span", F.get("spans", F.col("block")))
+    tokens = blocks.select("_row", "span", "block", "own", F.posexplode("own").alias("j", "word"))
     met = (
-        tokens.join(F.broadcast(prefixes), "word")
+        tokens.join(F.broadcast(prefixes), ["span", "word"])
         # Of the template at most size - i words can be shared from here on, of the block size - j.
         .where(F.least(F.size("words") - F.col("i"), F.size("own") - F.col("j")) >= F.col("need"))
         .withColumn("shared", F.size(F.array_intersect("own", "words")))
@@ -188,7 +210,7 @@ def license_scan(
     matched = met.groupBy("_row").agg(
         F.collect_set("label").alias("found"), F.max(F.col("shared") / F.size("words")).alias("part")
     )
-    both = scanned.drop("blocks").join(matched, "_row", "left")
+    both = scanned.drop("spans", "blocks").join(matched, "_row", "left")
     empty = F.array().cast("array<string>")
     labels = F.array_sort(F.array_union("base", F.coalesce("found", empty)))
     return both.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from marlstone.llm import language, packing, quality, sharding, simhash
 from marlstone.llm.language import fit_languages, identify_languages, ngram_counts
-from marlstone.llm.licenses import license_scan, words_of
+from marlstone.llm.licenses import license_scan, windows, words_of
 from marlstone.llm.mixing import mix_sources, mixed_documents
 from marlstone.llm.packing import pack_documents
 from marlstone.llm.queries import QUERIES, SQL, language_model, quality_model
@@ -107,6 +107,42 @@ def test_license_join_equals_all_pairs(spark):
         assert r["score"] == pytest.approx(best)
 
 
+def test_windows_follow_the_templates():
+    assert windows([0, 24, 25, 48, 49, 2000], 48) == [48, 48, 96, 96, 192, 6144]
+    with pytest.raises(ValueError, match="two words"):
+        windows([3], 1)
+
+
+def test_whole_license_texts_are_templates(spark):
+    rng = np.random.default_rng(8)
+    common, own = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(400)]
+    whole = [*rng.choice(common, 150), *rng.choice(own, 150, replace=False)]
+    half = [*rng.choice(common, 40), *own[:30]]
+    templates = (("whole", " ".join(whole)), ("half", " ".join(half)), ("short", "w1 w2 v3 v4"))
+    spans = windows([len(words_of(t)) for _, t in templates], 48)
+    assert spans == [768, 192, 48]
+    texts = []
+    for i in range(60):
+        body = [w for w in (whole, half)[i % 2] if w in common or rng.random() > 0.006 * i]
+        around = [list(rng.choice([*common, "x", "y"], rng.integers(0, 2000))) for _ in range(2)]
+        texts.append(" ".join([*around[0], *body, *around[1]]))
+    texts.append(" ".join([*whole[:150], *["x"] * 900, *whole[150:]]))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = set()
+    for r in license_scan(table, templates=templates).collect():
+        w, labels, best = words_of(texts[r["doc_id"]]), set(), 0.0
+        for (label, template), span in zip(templates, spans, strict=True):
+            t = set(template.split())
+            share = max(len(t & set(w[at : at + span])) / len(t) for at in range(0, len(w), span // 2))
+            if share >= 0.9 - 1e-12:
+                labels.add(label)
+                best = max(best, share)
+        assert r["labels"] == ",".join(sorted(labels))
+        assert r["score"] == pytest.approx(best)
+        found |= {(r["doc_id"], label) for label in labels}
+    assert {(0, "whole"), (1, "half")} <= found and (58, "whole") not in found and (60, "whole") not in found
+
+
 # --- mixing ----------------------------------------------------------------------
 
 

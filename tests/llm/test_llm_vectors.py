@@ -1,11 +1,13 @@
 """Operators on vectors against brute force, and their edge cases."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marlstone.llm.components import LocalForest, connected_components
 from marlstone.llm.knn import top_k_inner_product
+from marlstone.llm.queries import QUERIES, SQL
 from marlstone.llm.storage import with_position
 from marlstone.llm.vector_dedup import near_duplicate_vectors, passes_needed
 
@@ -52,6 +54,27 @@ def test_near_duplicates_equal_brute_force(spark, clustered):
     assert [r["kept"] for r in rows] == (component == np.arange(len(rows))).tolist()
 
 
+def test_query_equals_sql_where_vectors_link(spark, tmp_path):
+    """The given vectors with near copies, scaled copies and a large group around one of them."""
+    con = duckdb.connect()
+    con.execute("CREATE VIEW given AS SELECT * FROM '/root/testdata/sf0.01/embeddings.parquet'")
+    con.execute(f"""COPY (
+      SELECT vec_id, embedding FROM given
+      UNION ALL SELECT vec_id + 10000, list_transform(embedding, lambda x, i: CASE WHEN i <= 1 + vec_id % 12 THEN 0 ELSE x END)
+        FROM given
+      UNION ALL SELECT vec_id + 20000, list_transform(embedding, lambda x: 2 * x) FROM given WHERE vec_id % 3 = 0
+      UNION ALL SELECT g.vec_id + 30000, list_transform(g.embedding, lambda x, i: 0.25 * x + c.embedding[i])
+        FROM given g, (SELECT embedding FROM given WHERE vec_id = 7) c WHERE g.vec_id < 250
+    ) TO '{tmp_path}/embeddings.parquet' (FORMAT parquet)""")
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    columns = ["vec_id", "n_links", "component_id", "kept"]
+    want = con.sql(f"SELECT {', '.join(columns)} FROM ({SQL['op5_vector_dedup']})").fetchall()
+    got = QUERIES["op5_vector_dedup"](spark, str(tmp_path)).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert max(r[1] for r in want) >= 200 and sum(r[1] > 0 for r in want) > 1000
+    assert any(r[1] == 0 for r in want)
+
+
 def test_pairs_at_the_threshold_meet(spark):
     """Pairs just above the threshold, in many loose vectors and with a narrow window."""
     rng = np.random.default_rng(3)
