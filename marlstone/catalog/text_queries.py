@@ -151,6 +151,15 @@ def climate_aspects_whole_words(t: Tables):
     return _tagged(t, CLIMATE_ASPECTS, "word")
 
 
+@QUERIES.add("climate_aspects_by_table", _tagged_sql(CLIMATE_ASPECTS, "word"))
+def climate_aspects_by_table(t: Tables):
+    """The same as whole words, by a join with the keywords."""
+    texts = t.texts.select("doc_id", F.split("clean_text", " ").alias("words"))
+    keywords = text_ops.keyword_table(t.spark, CLIMATE_ASPECTS)
+    tagged = text_ops.tag_keywords(texts, "doc_id", F.col("words"), keywords, 3, "a")
+    return tagged.select("doc_id", F.size("a").alias("n_aspects"), F.concat_ws(",", "a").alias("aspects"))
+
+
 @QUERIES.add("corpus_aspects", _tagged_sql(CORPUS_ASPECTS, "substring"))
 def corpus_aspects(t: Tables):
     return _tagged(t, CORPUS_ASPECTS, "substring")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,6 +43,40 @@ def explode_aspects(df: DataFrame, col: str, out: str = "aspect") -> DataFrame:
     return df.withColumn(out, F.explode_outer(col)).drop(col).where(F.col(out).isNotNull())
 
 
+def keyword_table(spark: SparkSession, aspects: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(aspect, keyword) of keywords given as a mapping; a table of any size does as well."""
+    return spark.createDataFrame([(a, k) for a in aspects for k in aspects[a]], "aspect string, keyword string")
+
+
+def tag_keywords(
+    df: DataFrame, key: str, words: Column, keywords: DataFrame, longest: int, out: str = "aspects"
+) -> DataFrame:
+    """Add the sorted aspects that have a keyword among the words of each text.
+
+    ``keywords`` (aspect, keyword) holds words or runs of up to ``longest`` words with
+    single blanks between them; a longer one fails the query. The runs of a text are
+    joined with that table, so that neither the plan nor the work for a text grows with the
+    number of keywords, as ``text.tag_aspects`` does, which looks for one after the other.
+    ``key`` is unique and not null. Null or empty texts and keywords match nothing.
+    """
+    held = df.select(F.col(key).alias("_key"), words.alias("_words"))
+
+    def run_of(n: int) -> Column:
+        # One too short, at the end of the text, only repeats a shorter run.
+        return F.transform("_words", lambda _, i: F.array_join(F.slice("_words", i + 1, F.lit(n)), " "))
+
+    runs = [F.col("_words"), *map(run_of, range(2, longest + 1))]
+    lines = held.select("_key", F.explode(F.array_distinct(F.flatten(F.array(*runs)))).alias("_run"))
+    size = F.size(F.split("keyword", " "))
+    too_long = F.raise_error(F.lit(f"a keyword has more than {longest} words")).cast("string")
+    table = keywords.where("keyword <> ''").select(
+        "aspect", F.when(size > longest, too_long).otherwise(F.col("keyword")).alias("_run")
+    )
+    met = lines.join(table.distinct(), "_run").groupBy("_key").agg(F.array_sort(F.collect_set("aspect")).alias(out))
+    tagged = df.join(met, df[key] == met["_key"], "left").drop("_key")
+    return tagged.withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+
+
 def lexicon_sentiment(
     df: DataFrame,
     key: str,

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marlstone import session
+from marlstone.functions.text import CLIMATE_ASPECTS, tag_aspects
 from marlstone.operators import evaluate, grouping, ordered, profile, ranking, scaling, selection, text_ops
 from marlstone.operators import clean
 
@@ -394,3 +395,30 @@ def test_scratch_is_shared_or_refused():
     assert scratch_root(Session) == "hdfs://host/wh/_scratch"
     Session.conf = Conf({"spark.checkpoint.dir": "s3a://bucket/tmp/"})
     assert scratch_root(Session) == "s3a://bucket/tmp"
+
+
+def test_keywords_by_join_equal_the_scan(spark):
+    rng = random.Random(4)
+    parts = [k for some in CLIMATE_ASPECTS.values() for k in some] + ["soil", "", "of", "carbon", "tax", "climate"]
+    texts = [(i, " ".join(rng.choices(parts, k=rng.randint(0, 9)))) for i in range(300)]
+    df = spark.createDataFrame([*texts, (300, None), (301, "carbon tax " * 50_000)], "id long, text string")
+    keywords = text_ops.keyword_table(spark, CLIMATE_ASPECTS)
+    got = text_ops.tag_keywords(df, "id", F.split("text", " "), keywords, 3).collect()
+    want = df.select("id", F.coalesce(tag_aspects(F.col("text"), mode="word"), F.array())).collect()
+    assert {r["id"]: r["aspects"] for r in got} == dict(map(tuple, want)) and len(got) == 302
+    assert text_ops.tag_keywords(df.limit(0), "id", F.split("text", " "), keywords, 3).count() == 0
+    with pytest.raises(Exception, match="more than 2 words"):
+        text_ops.tag_keywords(df, "id", F.split("text", " "), keywords, 2).collect()
+
+
+def test_keyword_plans_do_not_grow(spark):
+    df = spark.createDataFrame([(1, "wind w7 w8")], "id long, text string")
+
+    def tagged(n):
+        return text_ops.tag_keywords(
+            df, "id", F.split("text", " "), text_ops.keyword_table(spark, {"a": [f"w{i} w{i + 1}" for i in range(n)]}), 2
+        )
+
+    plans = [tagged(n)._jdf.queryExecution().optimizedPlan().toString() for n in (5, 20_000)]
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines())
+    assert tagged(20_000).first()["aspects"] == ["a"] and tagged(5).first()["aspects"] == []
