@@ -146,8 +146,8 @@ def _fit(
         for r in solved.collect():
             model = (r["candidate"], r["fold"])
             betas[model] = np.array(r["beta"])
-            # Convergence is quadratic: the next change would be about the square.
-            if r["change"] > 1e-4:
+            # Convergence is quadratic: the next change would be about the square, far below a bin.
+            if r["change"] > 1e-3:
                 active.append(model)
     return betas
 
