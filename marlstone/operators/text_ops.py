@@ -123,6 +123,35 @@ def lemmatize(
     return texts.select(key, *keep, F.concat_ws(" ", F.transform("_items", lambda x: x["word"])).alias(out))
 
 
+def replace_words(
+    df: DataFrame, key: str, words: Column, lemmas: DataFrame, out: str = "lemma_text", copies: str | None = None
+) -> DataFrame:
+    """``df`` with ``out``, its words with each replaced by its lemma, as ``lemmatize`` does.
+
+    Only the distinct words of a text travel to the lookup, and only those that ``lemmas``
+    (token, lemma) has come back; the text and the other columns are joined to them once.
+    ``key`` is unique and not null. Every word is repeated as often as the column ``copies`` says.
+    """
+    held = df.select(F.col(key).alias("_key"), words.alias("_words"))
+    lines = held.select("_key", F.explode(F.array_distinct("_words")).alias("token"))
+    # A word with several lemmas stands for all of them.
+    lemma = F.coalesce("lemma", "token")
+    lookup = lemmas.groupBy("token").agg(F.sort_array(F.collect_list(lemma)).alias("_own"))
+    met = lines.join(lookup, "token").groupBy("_key").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "_own"))).alias("_met")
+    )
+    found = df.join(met, df[key] == met["_key"], "left").drop("_key")
+    times = F.lit(1) if copies is None else F.col(copies)
+
+    def replaced(word: Column) -> Column:
+        own = F.coalesce(F.try_element_at("_met", word), F.array(word))
+        return F.flatten(F.transform(own, lambda x: F.array_repeat(x, times)))
+
+    plain = F.col("_met").isNull() & (times == 1)
+    new = F.when(plain, words).otherwise(F.flatten(F.transform(words, replaced)))
+    return found.withColumn(out, F.concat_ws(" ", new)).drop("_met")
+
+
 def top_terms(df: DataFrame, group: str, words: Column, n: int = 200) -> DataFrame:
     """(group, term, freq, rank): the n most frequent words of each group.
 

@@ -20,9 +20,11 @@ from marlstone.operators.text_ops import (
     aspect_sentiment_counts,
     explode_aspects,
     explode_parallel,
-    lemmatize,
     lexicon_sentiment,
+    replace_words,
 )
+from marlstone.session import stable
+
 
 def labelled_texts(news: DataFrame, wanted: str) -> DataFrame:
     """(entity, text) of the articles with the wanted label, a row per article.
@@ -81,9 +83,16 @@ def classified_aspects(
     scored = score_rows(kept, "text", specificity, SPECIFICITY_LABELS, "specific")
     scored = score_rows(scored, "text", stance, stances, "sentiment_label")
     marks = ["entity", "specific", "sentiment_label"]
+    # Stored, as the lookups read it several times; no row of a word holds its text.
+    kept = scored.select(key, *marks, "clean_text").withColumn("_row", F.monotonically_increasing_id())
+    kept = stable(kept)
     words = F.split("clean_text", " ")
-    lemma = lemmatize(scored, key, words, lemmas, keep=[*marks, "clean_text"])
-    tagged = lemma.withColumn("aspects", tag_aspects(F.col("lemma_text"), aspects))
+    # Copies of a row count as one, whose lemmas repeat.
+    same = kept.groupBy(key, *marks, F.md5("clean_text").alias("_text"))
+    same = same.agg(F.min("_row").alias("_row"), F.count(F.lit(1)).cast("int").alias("_copies"))
+    once = kept.join(same.select("_row", "_copies"), "_row")
+    lemma = replace_words(once, "_row", words, lemmas, copies="_copies")
+    tagged = lemma.select(key, *marks, "clean_text", tag_aspects(F.col("lemma_text"), aspects).alias("aspects"))
     rated = lexicon_sentiment(tagged, key, words, lexicon, keep=[*marks, "aspects"])
     return explode_aspects(rated, "aspects")
 

@@ -281,3 +281,33 @@ def test_news_flow_from_texts_to_counts(spark):
         (4, "no", "risk", "energy", "negative"),
     }
     assert aspect_sentiment_counts(flow).count() == 3
+
+
+def test_rows_of_words_hold_no_text(spark):
+    """The news flow explodes words beside the keys alone: no row of a word carries its text."""
+    from marlstone.functions.text import SENTIMENT_LABELS
+    from marlstone.plans import news
+
+    def even():
+        import numpy as np
+
+        return lambda texts: np.array([[float(len(t) % 3 == i) for i in range(3)] for t in texts])
+
+    texts = spark.createDataFrame(
+        [(1, "a", "wind solar winds"), (1, "a", "wind solar winds"), (2, None, "")],
+        "id int, entity string, text string",
+    )
+    lexicon = spark.createDataFrame([("wind", 2.0)], "token string, valence double")
+    lemmas = spark.createDataFrame(
+        [("winds", "wind"), ("solar", "sun"), ("solar", None)], "token string, lemma string"
+    )
+    flow = news.classified_aspects(
+        texts, "id", lambda df: df, lambda: even(), lambda: even(), lexicon, lemmas,
+        {"air": ["wind wind"], "sun": ["sun"], "both": ["solar solar sun sun"]}, SENTIMENT_LABELS,
+    )
+    plan = flow._jdf.queryExecution().optimizedPlan().toString()
+    exploded = [line for line in plan.splitlines() if "Generate " in line]
+    assert exploded and not any("clean_text" in line.rpartition(", [")[2] for line in exploded)
+    assert not any("clean_text" in line.partition("), [")[2].partition("]")[0] for line in exploded)
+    # Copies of a row are one, in which every word and each of its lemmas comes twice.
+    assert sorted((r["id"], r["aspect"]) for r in flow.collect()) == [(1, "air"), (1, "both"), (1, "sun")]
