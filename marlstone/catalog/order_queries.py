@@ -257,7 +257,8 @@ def bucketed_basetable(t: Tables):
     """The base table from subjects stored in buckets of the order."""
     path = scratch_path(t.spark, "subjects")
     name = path.rpartition("/")[2].replace("-", "_")
-    stored = plan.store_subjects(t.orders, t.items, t.products, t.payments, t.reviews, name, 8, path)
+    buckets = plan.buckets_for(t.raw("orders"), t.items, t.payments, t.reviews)
+    stored = plan.store_subjects(t.orders, t.items, t.products, t.payments, t.reviews, name, buckets, path)
     return plan.basetable_of_subjects(stored).drop(*_TIMESTAMPS)
 
 

@@ -183,6 +183,15 @@ def order_basetable(
 SUBJECTS = ("orders", "lines", "payments", "reviews")
 
 
+#: Rows of all stored subjects that share a bucket; bounds what one task groups and sorts.
+BUCKET_ROWS = 2_000_000
+
+
+def buckets_for(*tables: DataFrame, rows: int = BUCKET_ROWS, least: int = 8) -> int:
+    """Number of buckets that holds about ``rows`` rows of all tables in each, whatever their size."""
+    return max(least, -(-sum(table.count() for table in tables) // rows))
+
+
 def store_subjects(
     orders: DataFrame,
     items: DataFrame,
@@ -198,7 +207,7 @@ def store_subjects(
     Lines take their product columns along, so that nothing after this is joined by
     another key. For base tables that are built more than once from the same orders:
     one shuffle of each subject here saves one in every later run. ``buckets`` should
-    make files of some 100 to 200 MB.
+    follow from the tables' size (``buckets_for``), as a task takes a whole bucket.
     """
     given = dict(zip(SUBJECTS, (orders, item_lines(items, products), payments, reviews), strict=True))
     return {

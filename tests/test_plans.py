@@ -311,3 +311,12 @@ def test_rows_of_words_hold_no_text(spark):
     assert not any("clean_text" in line.partition("), [")[2].partition("]")[0] for line in exploded)
     # Copies of a row are one, in which every word and each of its lemmas comes twice.
     assert sorted((r["id"], r["aspect"]) for r in flow.collect()) == [(1, "air"), (1, "both"), (1, "sun")]
+
+
+def test_buckets_follow_from_the_rows(spark):
+    """A bucket holds so many rows at most on average, however many there are."""
+    from marlstone.plans import orders
+
+    assert orders.buckets_for(spark.range(10)) == 8
+    assert orders.buckets_for(spark.range(900), spark.range(100), rows=10) == 100
+    assert orders.buckets_for(spark.range(45_000_000)) > 8
