@@ -249,3 +249,22 @@ def test_a_million_categories(spark):
         F.countDistinct("i"), F.max("i"), F.count_if((F.col("c") == "-1") & (F.col("i") == 0))
     )
     assert tuple(got.first()) == (1_000_001, 1_000_000.0, 500_000)
+
+
+def test_review_tables_fit_one_formula(spark, monkeypatch):
+    """One formula serves the training and the test rows."""
+    from marlstone.catalog import model_queries
+
+    rows = [(i, "card" if i % 3 else "voucher", f"c{i % 2}", float(i % 7), i % 2, i % 3) for i in range(100)]
+    base = spark.createDataFrame(
+        rows,
+        "order_id long, primary_payment_type string, category string, delivery_time double, "
+        "binary_label int, multiclass_label int",
+    )
+    fits = []
+    whole = models.formula_model
+    monkeypatch.setattr(model_queries, "_base", lambda t: base)
+    monkeypatch.setattr(models, "formula_model", lambda *a: fits.append(a[1]) or whole(*a))
+    train, test = model_queries._review_tables(None, "binary_label")
+    assert fits == ["binary_label ~ . - order_id"]
+    assert (train.count(), test.count()) == (70, 30)
