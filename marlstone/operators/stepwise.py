@@ -17,6 +17,13 @@ from marlstone.session import stable
 #: Bytes of Newton sums that one task may hold; candidates beyond them take a pass of their own.
 SUM_BYTES = 64 << 20
 
+#: Models and rows whose chances are taken at once, so that they stay in a core's cache.
+_TOGETHER = 64
+_ROWS = 512
+
+#: In place of a candidate: the sums that all candidates of a fold share.
+_SHARED = -1
+
 #: (candidate, fold): one model of a step.
 Model = tuple[int, int]
 
@@ -55,6 +62,7 @@ def forward_select(
     picked: list[tuple[int, float]] = []
     left = list(range(len(features)))
     start = {(f, at): np.zeros(2) for f in left for at in weights}
+    base = {at: np.zeros(1) for at in weights}
     while left and len(picked) < k:
         chosen = [f for f, _ in picked]
         width = len(chosen) + 2
@@ -62,7 +70,7 @@ def forward_select(
         scores: dict[int, float] = {}
         betas: dict[Model, np.ndarray] = {}
         for low in range(0, len(left), block):
-            fitted = _fit(rows, chosen, left[low : low + block], weights, start, c, rounds)
+            fitted = _fit(rows, chosen, left[low : low + block], weights, start, base, c, rounds)
             betas |= fitted
             scores |= _held_out_auc(rows, chosen, left[low : low + block], fitted, bins)
         best = max(left, key=lambda f: (scores[f], -f))
@@ -74,6 +82,7 @@ def forward_select(
             for f, at in betas
             if f != best
         }
+        base = {at: betas[best, at] for at in weights}
     return [(features[f], score) for f, score in picked]
 
 
@@ -96,8 +105,18 @@ def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, dict[int, n
     return found["y"], found["fold"], {int(n[1:]): v for n, v in found.items() if n[0] == "x"}
 
 
-def _chances(full: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(full @ beta, -30, 30)))
+def _rows(columns: tuple, some: slice) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    y, part, x = columns
+    return y[some], part[some], {f: v[some] for f, v in x.items()}
+
+
+def _chances(left: np.ndarray, right: np.ndarray, more: np.ndarray | float = 0.0) -> np.ndarray:
+    p = left @ right
+    p += more
+    np.clip(p, -30, 30, out=p)
+    np.exp(np.negative(p, out=p), out=p)
+    p += 1
+    return np.reciprocal(p, out=p)
 
 
 def _filled(x: dict[int, np.ndarray], chosen: list[int], inside: np.ndarray) -> np.ndarray:
@@ -122,111 +141,168 @@ def _fit(
     candidates: list[int],
     weights: dict[int, tuple[float, float]],
     start: dict[Model, np.ndarray],
+    base: dict[int, np.ndarray],
     c: float,
     rounds: int,
 ) -> dict[Model, np.ndarray]:
     """Coefficients (chosen, candidate, intercept) of every candidate in every fold."""
     betas = {(f, at): start[f, at] for f in candidates for at in weights}
     table = rows.select("y", "fold", *[f"x{f}" for f in [*chosen, *candidates]])
-    active = list(betas)
-    for _ in range(rounds):
+    curves: dict[Model, np.ndarray] = {}
+    changes: dict[Model, float] = {}
+    active, slow = list(betas), set()
+    for turn in range(rounds):
         if not active:
             break
         now = {model: betas[model] for model in active}
         sums = table.mapInArrow(
-            _newton_sums(chosen, now, weights), "candidate int, fold int, task int, sums array<double>"
+            _newton_sums(chosen, now, slow, {} if turn else base, weights),
+            "candidate int, fold int, task int, sums array<double>",
         )
         # By task, so that a sum repeats to the last digit.
         sums = sums.repartition("candidate", "fold").sortWithinPartitions("candidate", "fold", "task")
-        solved = sums.mapInArrow(
-            _newton_step(now, c), "candidate int, fold int, beta array<double>, change double"
-        )
-        active = []
+        added = sums.mapInArrow(_added, "candidate int, fold int, sums array<double>")
         # One line per model.
-        for r in solved.collect():
-            model = (r["candidate"], r["fold"])
-            betas[model] = np.array(r["beta"])
-            # Convergence is quadratic: the next change would be about the square, far below a bin.
-            if r["change"] > 1e-3:
+        totals = {(r["candidate"], r["fold"]): np.array(r["sums"]) for r in added.collect()}
+        if not turn:
+            curves = {
+                (f, at): curve
+                for at in weights
+                for f, curve in zip(candidates, _shared_curves(totals[_SHARED, at], len(chosen) + 1), strict=True)
+            }
+        active, slow = [], set()
+        for model in now:
+            width = len(betas[model])
+            if totals[model].size > width:
+                curves[model] = totals[model][width:].reshape(width, width)
+            betas[model], change = _newton_step(betas[model], totals[model][:width], curves[model], c)
+            # The change at least halves each round, or the curvature is taken anew: what is
+            # left is some change times its rate, far below a bin.
+            rate = change / changes.get(model, change) if change else 0.0
+            if change * rate > 1e-5:
                 active.append(model)
+                if turn and rate > 0.5:
+                    slow.add(model)
+            changes[model] = change
     return betas
 
 
 def _newton_sums(
-    chosen: list[int], betas: dict[Model, np.ndarray], weights: dict[int, tuple[float, float]]
+    chosen: list[int],
+    betas: dict[Model, np.ndarray],
+    slow: set[Model],
+    base: dict[int, np.ndarray],
+    weights: dict[int, tuple[float, float]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    s, width = len(chosen), len(chosen) + 2
-    folds = _by_fold(list(betas))
+    """X'Wr of every model, X'WX of the slow ones; and, for the folds of ``base``, the parts of
+    X'WX that the fold's candidates share, at the chances of the chosen columns alone."""
+    s = len(chosen)
+    groups = [
+        (at, some[low : low + _TOGETHER])
+        for at, some in _by_fold(list(betas)).items()
+        for low in range(0, len(some), _TOGETHER)
+    ]
+    coefficients = [np.array([betas[f, at] for f in some]) for at, some in groups]
+    others, owns = [np.delete(b, s, axis=1) for b in coefficients], [b[:, s, None] for b in coefficients]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {model: np.zeros((width, width + 1)) for model in betas}
+        slopes = [np.zeros((len(some), s + 2)) for _, some in groups]
+        curves = {model: np.zeros((s + 2, s + 2)) for model in slow}
+        common = {at: np.zeros((s + 1, s + 1)) for at in base}
+        mixed = [np.zeros((len(some), s + 2)) if at in base else None for at, some in groups]
         seen = False
         for batch in batches:
             seen = seen or batch.num_rows > 0
-            y, part, x = _columns(batch)
-            for at, candidates in folds.items():
-                inside = part != at
-                full, mine = _filled(x, chosen, inside), y[inside]
-                weight = np.where(mine == 1, weights[at][1], weights[at][0])
-                for f in candidates:
-                    full[:, s] = x[f][inside]
-                    p = _chances(full, betas[f, at])
-                    sums = total[f, at]
-                    sums[:, :width] += (full * (weight * p * (1 - p))[:, None]).T @ full
-                    sums[:, width] += full.T @ (weight * (p - mine))
-        if seen:
-            task = TaskContext.get().partitionId()
-            lines = [(f, at, task, sums.ravel()) for (f, at), sums in total.items()]
-            yield pa.RecordBatch.from_pandas(
-                pd.DataFrame(lines, columns=["candidate", "fold", "task", "sums"]).astype(
-                    {"candidate": "int32", "fold": "int32", "task": "int32"}
-                ),
-                preserve_index=False,
-            )
+            columns = _columns(batch)
+            for low in range(0, batch.num_rows, _ROWS):
+                y, part, x = _rows(columns, slice(low, low + _ROWS))
+                held = np.stack([*[x[f] for f in chosen], np.ones(len(y))])
+                weight, bent = {}, {}
+                for at in {at for at, _ in groups}:
+                    weight[at] = np.where(y == 1, weights[at][1], weights[at][0]) * (part != at)
+                    if at in base:
+                        p = _chances(base[at], held)
+                        bent[at] = weight[at] * p * (1 - p)
+                        common[at] += (held * bent[at]) @ held.T
+                for i, (at, some) in enumerate(groups):
+                    own = np.stack([x[f] for f in some])
+                    p = _chances(others[i], held, owns[i] * own)
+                    rest = p - y
+                    rest *= weight[at]
+                    slopes[i] += _products(held, own, rest)
+                    if at in base:
+                        mixed[i] += _products(held, own, bent[at] * own)
+                    for j, f in enumerate(some):
+                        if (f, at) in slow:
+                            full = np.insert(held, s, own[j], axis=0)
+                            curves[f, at] += (full * (weight[at] * p[j] * (1 - p[j]))) @ full.T
+        if not seen:
+            return
+        task = TaskContext.get().partitionId()
+        lines, shared = [], {at: [common[at].ravel()] for at in base}
+        for i, (at, some) in enumerate(groups):
+            for j, f in enumerate(some):
+                more = [curves[f, at].ravel()] if (f, at) in slow else []
+                lines.append((f, at, task, np.concatenate([slopes[i][j], *more])))
+            if at in base:
+                shared[at].append(mixed[i].ravel())
+        lines += [(_SHARED, at, task, np.concatenate(parts)) for at, parts in shared.items()]
+        yield pa.RecordBatch.from_pandas(
+            pd.DataFrame(lines, columns=["candidate", "fold", "task", "sums"]).astype(
+                {"candidate": "int32", "fold": "int32", "task": "int32"}
+            ),
+            preserve_index=False,
+        )
 
     return run
 
 
-def _newton_step(
-    betas: dict[Model, np.ndarray], c: float
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One ridge-penalised step, at most 4 in any coefficient; the intercept isn't penalised.
-
-    The lines of a model follow each other; one sum is held at a time.
-    """
-
-    def solved(model: Model, total: np.ndarray) -> tuple[int, int, list[float], float]:
-        beta = betas[model]
-        width = len(beta)
-        total = total.reshape(width, width + 1)
-        penalty = np.full(width, 1.0 / c)
-        penalty[-1] = 1e-9
-        step = np.linalg.solve(total[:, :width] + np.diag(penalty), total[:, width] + penalty * beta)
-        change = float(np.abs(step).max())
-        step *= min(1.0, 4.0 / max(change, 1e-300))
-        return *model, (beta - step).tolist(), change
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, total, lines = None, None, []
-        for batch in batches:
-            candidates, folds = batch["candidate"].to_pylist(), batch["fold"].to_pylist()
-            sums = batch["sums"]
-            for i, model in enumerate(zip(candidates, folds, strict=True)):
-                mine = sums[i].values.to_numpy()
-                if model == current:
-                    total = total + mine
-                    continue
-                if current is not None:
-                    lines.append(solved(current, total))
-                current, total = model, mine
-        if current is not None:
-            lines.append(solved(current, total))
-            names = ["candidate", "fold", "beta", "change"]
-            kinds = [pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.float64()]
-            columns = zip(zip(*lines, strict=True), kinds, strict=True)
-            yield pa.record_batch([pa.array(v, kind) for v, kind in columns], names=names)
-
-    return run
+def _products(held: np.ndarray, own: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """A line per model: its values times the chosen columns, its own column and the ones."""
+    sums = values @ held.T
+    return np.insert(sums, sums.shape[1] - 1, np.einsum("ij,ij->i", own, values), axis=1)
+
+
+def _shared_curves(total: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """X'WX of every candidate, from what all share and its own row."""
+    common = total[: size * size].reshape(size, size)
+    for mine in total[size * size :].reshape(-1, size + 1):
+        curve = np.insert(np.insert(common, size - 1, 0.0, axis=0), size - 1, 0.0, axis=1)
+        curve[size - 1, :] = curve[:, size - 1] = mine
+        yield curve
+
+
+def _newton_step(beta: np.ndarray, slope: np.ndarray, curve: np.ndarray, c: float) -> tuple[np.ndarray, float]:
+    """One ridge-penalised step, at most 4 in any coefficient; the intercept isn't penalised."""
+    penalty = np.full(len(beta), 1.0 / c)
+    penalty[-1] = 1e-9
+    step = np.linalg.solve(curve + np.diag(penalty), slope + penalty * beta)
+    change = float(np.abs(step).max())
+    return beta - step * min(1.0, 4.0 / max(change, 1e-300)), change
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of every model's lines, which follow each other; one sum is held at a time."""
+
+    def line(model: Model, total: np.ndarray) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.int32(), pa.list_(pa.float64())]
+        columns = [pa.array([v], kind) for v, kind in zip([*model, total], kinds, strict=True)]
+        return pa.record_batch(columns, names=["candidate", "fold", "sums"])
+
+    current, total = None, None
+    for batch in batches:
+        candidates, folds = batch["candidate"].to_pylist(), batch["fold"].to_pylist()
+        sums = batch["sums"]
+        for i, model in enumerate(zip(candidates, folds, strict=True)):
+            mine = sums[i].values.to_numpy()
+            if model == current:
+                total = total + mine
+                continue
+            if current is not None:
+                yield line(current, total)
+            current, total = model, mine
+    if current is not None:
+        yield line(current, total)
 
 
 def _held_out_auc(

@@ -125,6 +125,27 @@ def test_forward_selection_equals_plain_fits(spark, monkeypatch):
     assert stepwise.forward_select(df, names, k=2, folds=3, key="id", bins=1 << 16) == picked[:2]
 
 
+def test_forward_selection_sums_one_curvature_for_all_candidates(spark, monkeypatch):
+    """After a step's first round, a candidate's X'WX is summed only where the shared one is slow."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 5))
+    y = (x[:, 0] + 0.5 * x[:, 3] + rng.logistic(size=400) > 0).astype(float)
+    rows = [(i, float(y[i]), *map(float, x[i])) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, label double, a double, b double, c double, d double, e double")
+    asked, shared = [], []
+    sums_of = stepwise._newton_sums
+
+    def counted(chosen, betas, slow, base, weights):
+        asked.append(len(slow) / len(betas))
+        shared.append(len(base))
+        return sums_of(chosen, betas, slow, base, weights)
+
+    monkeypatch.setattr(stepwise, "_newton_sums", counted)
+    picked = stepwise.forward_select(df.repartition(3), ["a", "b", "c", "d", "e"], k=2, folds=3, key="id")
+    assert [name for name, _ in picked] == ["a", "d"]
+    assert sum(shared) == 6 and np.mean(asked) < 0.5
+
+
 def test_forward_selection_without_usable_folds(spark):
     rows = [(i, 1.0, float(i), None) for i in range(6)]
     df = spark.createDataFrame(rows, "id long, label double, a double, b double")
