@@ -168,6 +168,29 @@ def test_search_reaches_pipeline_stages_and_refits_the_best(spark):
         models.grid_search(flow, {"GBTClassifier.maxIter": [1]}, df)
 
 
+def test_a_search_fits_text_vectors_once_a_fold_in_a_bounded_number_of_partitions(spark, monkeypatch):
+    texts = [(i, ["wind", "solar"] if i % 2 else ["court", "goal"], float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(texts, "id long, words array<string>, label double").repartition(40)
+    grid = {"LogisticRegression.regParam": [1000.0, 0.1, 0.01]}
+    plain = Pipeline(stages=[models.text_embedder("tfidf", 32), models.logistic(60, maxIter=20)])
+    want = models.grid_search(plain, grid, df, folds=2).avgMetrics
+    seen = []
+    rows_of = models.StoredPipeline._rows
+
+    def counted(self, dataset):
+        before, rows = rows_of(self, dataset)
+        seen.append(rows.rdd.getNumPartitions())
+        return before, rows
+
+    monkeypatch.setattr(models.StoredPipeline, "_rows", counted)
+    flow = models.text_classifier(models.logistic(60, maxIter=20), size=32)
+    search = models.grid_search(flow, grid, df, folds=2)
+    assert search.avgMetrics == pytest.approx(want)
+    # Two folds and the best point on all rows.
+    assert len(seen) == 3 and max(seen) <= spark.sparkContext.defaultParallelism
+    assert accuracy(models.refit_best(search, df).transform(df)) == 1.0
+
+
 def test_importances_name_every_slot(points):
     model = models.forest(numTrees=5, seed=1).fit(points)
     rows = models.feature_importance(model, points).collect()
