@@ -170,20 +170,21 @@ def _fit(
                 for at in weights
                 for f, curve in zip(candidates, _shared_curves(totals[_SHARED, at], len(chosen) + 1), strict=True)
             }
-        active, slow = [], set()
+        active, steep, slow = [], slow, set()
         for model in now:
             width = len(betas[model])
             if totals[model].size > width:
                 curves[model] = totals[model][width:].reshape(width, width)
             betas[model], change = _newton_step(betas[model], totals[model][:width], curves[model], c)
-            # The change at least halves each round, or the curvature is taken anew: what is
-            # left is some change times its rate, far below a bin.
             rate = change / changes.get(model, change) if change else 0.0
-            if change * rate > 1e-5:
+            changes[model] = change
+            # What is left is far below a bin: about the square of the change by a model's own
+            # curvature, and about the change times its rate by the shared one.
+            own = model in steep
+            if change > 1e-3 if own else change * rate > 1e-5:
                 active.append(model)
-                if turn and rate > 0.5:
+                if own or turn and rate > 0.1:
                     slow.add(model)
-            changes[model] = change
     return betas
 
 
