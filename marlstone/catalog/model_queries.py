@@ -433,7 +433,7 @@ def vector_forest_grid(t: Tables):
     vectors = _vectors(t)
     search = tuning.forest_search(vectors, [50, 100, 200], [10, 20, 30], [1, 2, 4])
     # The labels don't follow from the vectors: only the rows it was fitted on show a good fit.
-    fitted = tuning.refit_forest(search, vectors).transform(vectors)
+    fitted = tuning.refit_predictions(search, vectors)
     return _grid_summary(search.table()).withColumns(_against_commonest(fitted, "fits"))
 
 
