@@ -99,3 +99,59 @@ def test_labels_and_vectors_are_checked(spark, points):
         tuning.forest_search(wrong, [2], [2])
     with pytest.raises(ValueError, match="classes"):
         tuning.forest_search(points.withColumn("label", F.when(F.rand(1) > 0.5, 1.0)), [2], [2])
+
+
+def test_rows_are_dealt_by_blocks_of_trees(points, monkeypatch):
+    """A bag and a vote per tree and row is what took the time and disk of large tables."""
+
+    def refuse(*_):
+        raise AssertionError("a bag for each tree")
+
+    monkeypatch.setattr(forests, "_bags", refuse)
+    monkeypatch.setattr(forests, "_BLOCK_TREES", (1, 3))
+    table = tuning._folded(points, 2, 5)
+    found = forests.forest_predictions(table, range(2), [2, 9], [(30, 2)], [1, 4])
+    assert found.count() == 400 * 2 * 2 and accuracy(found.where("size = 1 AND point = 0")) > 0.85
+    blocks = forests._blocks([2, 9], 3)
+    assert sorted(t for low, high, _ in blocks for t in range(low, high)) == list(range(9))
+    assert all(high - low <= 3 and size == (low >= 2) for low, high, size in blocks)
+
+
+def test_trees_of_several_leaf_sizes_grow_together():
+    """Each keeps its own limit, however much of the tree they share; trees add up."""
+    rng = np.random.default_rng(3)
+    bins, label = rng.integers(0, 16, (300, 9)).astype(np.int8), rng.integers(0, 3, 300)
+    weight, scored = rng.poisson(1, (2, 300)).astype(float), np.arange(300) % 3 == 0
+    shares = forests._end_shares(bins, label, weight, (16, 3), (1, 40), [(1, 2), (30, 2)], 0, rng, scored)
+    assert shares.shape == (4, 100, 3) and np.allclose(shares.sum(axis=2), 2)
+    # The first cut is far from either limit here, and so the same.
+    assert np.allclose(shares[0], shares[2])
+    # Leaves of one class without a limit, of several with it.
+    assert (shares[1] % 1 == 0).all() and (shares[3] % 1 > 0).any(axis=1).all()
+
+
+def test_few_rows_are_split_as_many_are():
+    """Nodes compared pair by pair have the gain of the best cut that a histogram finds."""
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        rows, least = int(rng.integers(2, 9)), int(rng.integers(1, 4))
+        bins, label = rng.integers(0, 5, (rows, 3)), rng.integers(0, 3, rows)
+        weight = rng.integers(1, 4, rows).astype(float)
+        hist = np.zeros((5, 3, 1, 3))
+        for k in range(3):
+            np.add.at(hist, (bins[:, k], label, 0, k), weight)
+        held = np.append(weight, 0.0)[:, None]  # one row that isn't there
+        few = forests._few_rows_splits(
+            np.append(bins, bins[:1], axis=0)[:, None], np.append(label, 0)[:, None], held, [least]
+        )
+        (feature,), (cut,) = (x[0] for x in forests._best_splits(hist, [least]))
+        (own,), (own_cut,) = (x[0] for x in few)
+        assert (own < 0) == (feature < 0)
+
+        def gain(feature, cut):
+            left = bins[:, feature] <= cut
+            assert least <= weight[left].sum() <= weight.sum() - least
+            return sum(np.square(np.bincount(label[s], weight[s])).sum() / weight[s].sum() for s in (left, ~left))
+
+        if own >= 0:
+            assert gain(own, own_cut) == pytest.approx(gain(feature, cut))
