@@ -338,7 +338,7 @@ def _lines_of(shares: np.ndarray, names: Sequence[str], row: np.ndarray, label:
     return votes.assign(row=np.tile(row, points), label=np.tile(label, points), point=np.repeat(np.arange(points), len(row)))
 
 
-def _block_votes(lines: DataFrame, rows: int, sizes, shape, limits, leaf_rows, names, kind: str, seed: int) -> DataFrame:
+def _block_votes(lines: DataFrame, rows: int, folds: int, sizes, shape, limits, leaf_rows, names, kind, seed: int) -> DataFrame:
     """Votes of all trees; a group has all lines of a held-out fold and grows a block of trees."""
     least, most = _BLOCK_TREES
     blocks = _blocks(sizes, min(most, max(least, _BLOCK_ROWS // rows)))
@@ -362,8 +362,7 @@ def _block_votes(lines: DataFrame, rows: int, sizes, shape, limits, leaf_rows, n
     dealt = lines.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))))
     dealt = dealt.select(*keys, "row", "label", "scored", "bins")
     # More tasks than groups, so that few tasks get several.
-    groups = len(blocks) * lines.select("held").distinct().count()
-    return dealt.repartition(3 * groups, *keys).groupBy(*keys).applyInPandas(grow, kind)
+    return dealt.repartition(3 * folds * len(blocks), *keys).groupBy(*keys).applyInPandas(grow, kind)
 
 
 def _bag_votes(
@@ -440,7 +439,7 @@ def forest_predictions(
     kind = ", ".join(f"{n} double" for n in names) + ", row long, label int, point int, held int, size int"
     lines, rest = _binned(table, held, max_bins), (names, kind, seed)
     if rows <= group_rows:
-        votes = _block_votes(lines, rows, sizes, shape, limits, leaf_rows, *rest)
+        votes = _block_votes(lines, rows, len(held), sizes, shape, limits, leaf_rows, *rest)
     else:
         trees = len(held) * sizes[-1]
         votes = _bag_votes(lines, rows, trees, sizes, shape, facts["most"], limits, leaf_rows, *rest, group_rows)
